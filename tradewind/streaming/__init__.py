@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source pipeline has no streaming operator (no watermark, window, trigger or
+state — every run rebuilds from files), so nothing is registered here.  The
+batch operators are plain DataFrame functions; a caller that wants incremental
+refresh can apply them inside ``foreachBatch``.
+"""
