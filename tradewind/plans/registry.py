@@ -1,6 +1,8 @@
 """One callable per operator key: ``(spark, sf_dir) -> DataFrame``.
 
-Every query reads the whole test tables of ``sf_dir`` through the staging step.
+Every query reads the whole test tables of ``sf_dir`` through the staging
+step; intermediate operators are registered with the same declared output
+schema as their oracle SQL.
 """
 
 from __future__ import annotations
@@ -9,21 +11,79 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.operators import seller
+from tradewind.operators import category as cat
+from tradewind.operators import churn, customer, seller, star
+from tradewind.operators.common import conform
+from tradewind.operators.staging import dedup_geolocation
+from tradewind.sources.tables import Marketplace
 from tradewind.sources.testdata import load_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _staged(fn) -> Query:
+def _staged(fn: Callable[[Marketplace], DataFrame], zero_months: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_testdata(spark, sf_dir))
+        return fn(load_testdata(spark, sf_dir, zero_months=zero_months))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
 
+def _ts(m: Marketplace) -> DataFrame:
+    return churn.seller_timeseries_of(m)
+
+
+def _paid(m: Marketplace) -> DataFrame:
+    return customer.paid_orders(m)
+
+
 REGISTRY: dict[str, Query] = {
+    # seller profile
     "seller_profile": _staged(seller.seller_profile),
+    # churn risk
+    "seller_monthly": _staged(lambda m: conform(churn.seller_monthly(m), churn.SELLER_MONTHLY_SCHEMA)),
+    "seller_cohort": _staged(lambda m: conform(churn.seller_cohort(churn.seller_monthly(m), m.sellers),
+                                               churn.SELLER_COHORT_SCHEMA)),
+    "seller_timeseries": _staged(lambda m: conform(_ts(m), churn.SELLER_TIMESERIES_SCHEMA)),
+    "zero_month_streak": _staged(lambda m: conform(churn.zero_month_streak(_ts(m)), churn.ZERO_STREAK_SCHEMA),
+                                 zero_months=True),
+    "latest_month": _staged(lambda m: conform(churn.latest_month(_ts(m)), churn.LATEST_MONTH_SCHEMA)),
+    "churn_signals": _staged(lambda m: conform(
+        churn.churn_signals(churn.latest_month(_ts(m)), churn.zero_month_streak(_ts(m))),
+        churn.CHURN_SIGNALS_SCHEMA)),
+    "churn_risk": _staged(churn.churn_risk),
+    "churn_risk_zero_months": _staged(churn.churn_risk, zero_months=True),
+    # category analysis
+    "daily_category_revenue": _staged(lambda m: conform(cat.daily_category_revenue(m), cat.DAILY_CATEGORY_SCHEMA)),
+    "monthly_category": _staged(lambda m: conform(cat.monthly_category(cat.daily_category_revenue(m)),
+                                                  cat.MONTHLY_CATEGORY_SCHEMA)),
+    "category_share": _staged(lambda m: conform(
+        cat.category_share(cat.monthly_category(cat.daily_category_revenue(m))), cat.CATEGORY_SHARE_SCHEMA)),
+    "category_share_delta": _staged(lambda m: conform(cat.category_deltas_of(m), cat.CATEGORY_DELTA_SCHEMA)),
+    "category_analysis": _staged(cat.category_analysis),
+    # customer & delivery
+    "all_customers": _staged(lambda m: conform(customer.all_customers(m.customers), customer.ALL_CUSTOMERS_SCHEMA)),
+    "delivery_metrics": _staged(lambda m: conform(customer.delivery_metrics(m), customer.DELIVERY_METRICS_SCHEMA)),
+    "incomplete_orders": _staged(lambda m: conform(customer.order_counts(m), customer.ORDER_COUNTS_SCHEMA)),
+    "order_revenue": _staged(lambda m: conform(customer.order_revenue(m.order_items),
+                                               customer.ORDER_REVENUE_SCHEMA)),
+    "revenue_percentiles": _staged(lambda m: conform(customer.revenue_percentiles(_paid(m)),
+                                                     customer.PERCENTILES_SCHEMA)),
+    "second_purchase": _staged(lambda m: conform(customer.second_purchase(_paid(m)),
+                                                 customer.SECOND_PURCHASE_SCHEMA)),
+    "customer_delivery": _staged(lambda m: conform(customer.customer_delivery(_paid(m)),
+                                                   customer.CUSTOMER_DELIVERY_SCHEMA)),
+    "customer_summary": _staged(lambda m: conform(customer.customer_summary(_paid(m)),
+                                                  customer.CUSTOMER_SUMMARY_SCHEMA)),
+    "customer_and_delivery": _staged(customer.customer_and_delivery),
+    # star schema
+    "payments_deduped": _staged(lambda m: conform(star.payments_deduped(m.order_payments),
+                                                  star.PAYMENTS_DEDUPED_SCHEMA)),
+    "fact_orders": _staged(star.fact_orders),
+    "dedup_geolocation": _staged(lambda m: conform(dedup_geolocation(m.geolocation), star.DEDUP_GEO_SCHEMA)),
+    "dim_seller": _staged(star.dim_seller),
+    "dim_customer": _staged(star.dim_customer),
+    "dim_product": _staged(star.dim_product),
+    "dim_date": _staged(star.dim_date),
 }
 
 
