@@ -19,6 +19,9 @@ from tradewind.sources.tables import Marketplace
 MIN_ROWS = {"sellers": 100, "products": 500, "orders": 1000, "order_items": 1000, "order_payments": 1000}
 
 
+DQ_SCHEMA = [("check_name", "VARCHAR"), ("value", "BIGINT"), ("rule", "VARCHAR"), ("passed", "BOOLEAN")]
+
+
 class QualityGateError(RuntimeError):
     pass
 

@@ -121,3 +121,39 @@ def seller_profile(m: Marketplace, sort: bool = True) -> DataFrame:
                              F.when(F.col("cumulative_revenue_pct") <= 80, 1).otherwise(0)))
     out = conform(out, SELLER_PROFILE_SCHEMA)
     return out.orderBy("lifetime_rank", "seller_id") if sort else out
+
+
+DAILY_SELLER_SCHEMA = [("seller_id", "KEY"), ("order_date", "DATE"), ("gross_revenue", "DOUBLE"),
+                       ("items_sold", "BIGINT"), ("primary_category", "VARCHAR")]
+LIFETIME_SCHEMA = [("seller_id", "KEY"), ("total_revenue", "DOUBLE"), ("total_items_sold", "BIGINT"),
+                   ("active_days", "BIGINT"), ("first_sale_date", "DATE"), ("last_sale_date", "DATE")]
+PARETO_SCHEMA = LIFETIME_SCHEMA + [("seller_city", "VARCHAR"), ("seller_state", "VARCHAR"),
+                                   ("lifetime_rank", "BIGINT"), ("lifetime_quartile", "BIGINT"),
+                                   ("cumulative_revenue_pct", "DOUBLE")]
+TRAILING_SCHEMA = DAILY_SELLER_SCHEMA + [("max_date", "DATE")]
+PERIODS_SCHEMA = [("seller_id", "KEY"), ("revenue_90d", "DOUBLE"), ("items_90d", "BIGINT"),
+                  ("revenue_l30d", "DOUBLE"), ("revenue_p30d", "DOUBLE"), ("top_category", "VARCHAR"),
+                  ("active_days_90d", "BIGINT")]
+GROWTH_SCHEMA = PERIODS_SCHEMA + [("mom_growth_pct", "DOUBLE")]
+TOP_CATEGORY_SCHEMA = [("seller_id", "KEY"), ("top_category", "VARCHAR")]
+VALID_ITEMS_SCHEMA = [("order_id", "KEY"), ("order_item_id", "KEY"), ("seller_id", "KEY"), ("order_date", "DATE"),
+                      ("gross_revenue", "DOUBLE")]
+ORDER_VALUE_STATS_SCHEMA = [("seller_id", "KEY"), ("items", "BIGINT"), ("avg_item_price", "DOUBLE"),
+                            ("avg_freight_value", "DOUBLE"), ("avg_item_revenue", "DOUBLE")]
+
+
+def filter_valid_orders(m: Marketplace) -> DataFrame:
+    """Sold items with their gross revenue (price + freight)."""
+    return sold_items(m).select("order_id", "order_item_id", "seller_id", "order_date",
+                                item_revenue().alias("gross_revenue"))
+
+
+def order_value_stats(m: Marketplace) -> DataFrame:
+    """Per seller, mean item price, freight and revenue (double, rounded to cents)."""
+    n = F.count(F.lit(1))
+
+    def mean(c):
+        return round_half_up(F.sum(c).cast("double") / n, 2)
+    return sold_items(m).groupBy("seller_id").agg(
+        n.alias("items"), mean(F.col("price")).alias("avg_item_price"),
+        mean(F.col("freight_value")).alias("avg_freight_value"), mean(item_revenue()).alias("avg_item_revenue"))

@@ -98,3 +98,30 @@ def stage_all(raw: RawMarketplace) -> Marketplace:
         order_payments=clean_order_payments(raw.order_payments),
         customers=clean_customers(raw.customers),
         geolocation=clean_geolocation(raw.geolocation))
+
+
+STAGED_SCHEMAS = {
+    "sellers": [("seller_id", "KEY"), ("seller_zip_code", "VARCHAR"), ("seller_city", "VARCHAR"),
+                ("seller_state", "VARCHAR")],
+    "products": [("product_id", "KEY"), ("product_category_name", "VARCHAR")] + [(c, "BIGINT") for c in PRODUCT_SIZES],
+    "category_translation": [("product_category_name", "VARCHAR"), ("product_category_name_english", "VARCHAR")],
+    "orders": [("order_id", "KEY"), ("customer_id", "KEY"), ("order_status", "VARCHAR")] + [
+        (c, "TIMESTAMP") for c in ORDER_TIMES],
+    "order_items": [("order_id", "KEY"), ("order_item_id", "KEY"), ("product_id", "KEY"), ("seller_id", "KEY"),
+                    ("price", "DOUBLE"), ("freight_value", "DOUBLE")],
+    "order_payments": [("order_id", "KEY"), ("payment_sequential", "VARCHAR"), ("payment_type", "VARCHAR"),
+                       ("payment_installments", "BIGINT"), ("payment_value", "DOUBLE")],
+    "customers": [("customer_id", "KEY"), ("customer_unique_id", "KEY"), ("customer_zip_code_prefix", "VARCHAR"),
+                  ("customer_city", "VARCHAR"), ("customer_state", "VARCHAR")],
+}
+ROW_COUNTS_SCHEMA = [("table_name", "VARCHAR"), ("row_count", "BIGINT")]
+
+
+def staging_row_counts(m: Marketplace) -> DataFrame:
+    """Row count of every staged table, as one DataFrame of global counts."""
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+             for name, df in m.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators import category as cat
-from tradewind.operators import churn, customer, seller, star
+from tradewind.operators import churn, customer, measures, quality, seller, staging, star
+from tradewind.plans import helpers
 from tradewind.operators.common import conform
 from tradewind.operators.staging import dedup_geolocation
 from tradewind.sources.tables import Marketplace
@@ -87,5 +88,42 @@ REGISTRY: dict[str, Query] = {
 }
 
 
+REGISTRY.update({k: _staged(fn) for k, fn in measures.MEASURES.items()})
+
+
+def _daily(m: Marketplace) -> DataFrame:
+    return seller.daily_seller_revenue(m)
+
+
+REGISTRY.update({
+    # staging (B1-B7), counts (A7) and the quality gate
+    **{f"stage_{name}": _staged(lambda m, name=name: conform(getattr(m, name), staging.STAGED_SCHEMAS[name]))
+       for name in staging.STAGED_SCHEMAS},
+    "staging_row_counts": _staged(lambda m: conform(staging.staging_row_counts(m), staging.ROW_COUNTS_SCHEMA)),
+    "dq_report": _staged(lambda m: conform(quality.dq_report(m), quality.DQ_SCHEMA)),
+    "dq_orphan_items": _staged(lambda m: conform(quality.orphan_items(m.order_items, m.orders),
+                                                 staging.STAGED_SCHEMAS["order_items"])),
+    # seller-profile steps (J1-J6) and helpers
+    "filter_valid_orders": _staged(lambda m: conform(seller.filter_valid_orders(m), seller.VALID_ITEMS_SCHEMA)),
+    "daily_seller_revenue": _staged(lambda m: conform(_daily(m), seller.DAILY_SELLER_SCHEMA)),
+    "seller_lifetime_totals": _staged(lambda m: conform(seller.seller_lifetime_totals(_daily(m)),
+                                                        seller.LIFETIME_SCHEMA)),
+    "seller_pareto": _staged(lambda m: conform(seller.seller_pareto(seller.seller_lifetime_totals(_daily(m)),
+                                                                    m.sellers), seller.PARETO_SCHEMA)),
+    "trailing_90d": _staged(lambda m: conform(seller.trailing_90d(_daily(m)), seller.TRAILING_SCHEMA)),
+    "seller_periods": _staged(lambda m: conform(seller.seller_periods(seller.trailing_90d(_daily(m))),
+                                                seller.PERIODS_SCHEMA)),
+    "seller_growth": _staged(lambda m: conform(seller.seller_growth(seller.seller_periods(
+        seller.trailing_90d(_daily(m)))), seller.GROWTH_SCHEMA)),
+    "seller_top_category": _staged(lambda m: conform(seller.seller_periods(seller.trailing_90d(_daily(m))),
+                                                     seller.TOP_CATEGORY_SCHEMA)),
+    "order_value_stats": _staged(lambda m: conform(seller.order_value_stats(m), seller.ORDER_VALUE_STATS_SCHEMA)),
+    "on_time_flag": _staged(lambda m: m.orders.select("order_id", (customer.on_time_flag() == 1)
+                                                      .alias("delivered_on_time"))),
+    "round_half_up": _staged(helpers.rounding_probe),
+})
+REGISTRY["title_case"] = helpers.title_case_probe
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
