@@ -46,8 +46,12 @@ CHURN_SIGNALS_SCHEMA = [
 CHURN_RISK_SCHEMA = [c for c in CHURN_SIGNALS_SCHEMA if c[0] not in ("revenue_3m_ago", "all_zeros_in_streak")] + [
     ("churn_risk_tier", "VARCHAR"), ("recommended_action", "VARCHAR")]
 
-_BY_SELLER = Window.partitionBy("seller_id")
-_IN_ORDER = _BY_SELLER.orderBy("year_month")
+def _by_seller() -> Window:
+    return Window.partitionBy("seller_id")
+
+
+def _in_order() -> Window:
+    return _by_seller().orderBy("year_month")
 
 
 def seller_monthly(m: Marketplace) -> DataFrame:
@@ -61,20 +65,20 @@ def seller_monthly(m: Marketplace) -> DataFrame:
 def seller_cohort(monthly: DataFrame, sellers: DataFrame) -> DataFrame:
     """Cohort month (first active month) and months since it (boundary count)."""
     x = monthly.join(sellers.select("seller_id", "seller_state"), "seller_id")
-    cohort = F.min("year_month").over(_BY_SELLER)
+    cohort = F.min("year_month").over(_by_seller())
     return (x.withColumn("cohort_month", cohort)
              .withColumn("months_since_first_sale", month_index_diff("cohort_month", "year_month")))
 
 
 def seller_timeseries(cohort: DataFrame) -> DataFrame:
     """Previous *active* month, 3 active months ago, 6-row rolling mean, zero flags."""
-    six = _IN_ORDER.rowsBetween(-5, Window.currentRow)
-    upto = _IN_ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    six = _in_order().rowsBetween(-5, Window.currentRow)
+    upto = _in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     zero = F.when(F.col("gross_revenue") == 0, 1).otherwise(0)
     return cohort.select(
         "*",
-        F.lag("gross_revenue", 1).over(_IN_ORDER).alias("prev_month_revenue"),
-        F.lag("gross_revenue", 3).over(_IN_ORDER).alias("revenue_3m_ago"),
+        F.lag("gross_revenue", 1).over(_in_order()).alias("prev_month_revenue"),
+        F.lag("gross_revenue", 3).over(_in_order()).alias("revenue_3m_ago"),
         (F.sum("gross_revenue").over(six).cast("double") / F.count(F.lit(1)).over(six)).alias("rolling_6m_avg"),
         zero.alias("is_zero_month"),
         F.sum(zero).over(upto).alias("cumulative_zero_months"))
@@ -82,9 +86,9 @@ def seller_timeseries(cohort: DataFrame) -> DataFrame:
 
 def zero_month_streak(ts: DataFrame) -> DataFrame:
     """Gap-and-island — rows of the seller's last activity group."""
-    grp = F.row_number().over(_IN_ORDER) - F.col("cumulative_zero_months")
+    grp = F.row_number().over(_in_order()) - F.col("cumulative_zero_months")
     x = ts.select("seller_id", "year_month", "is_zero_month", grp.alias("grp"))
-    last = x.withColumn("top", F.max("grp").over(_BY_SELLER)).filter(F.col("grp") == F.col("top"))
+    last = x.withColumn("top", F.max("grp").over(_by_seller())).filter(F.col("grp") == F.col("top"))
     return last.groupBy("seller_id").agg(
         F.max("year_month").alias("last_seen_month"), F.count(F.lit(1)).alias("streak_length"),
         F.min("is_zero_month").alias("all_zeros_in_streak"))

@@ -6,9 +6,10 @@ with work spread over all partitions:
 
 1. range-partition on (key, tie) and sort inside each partition (one shuffle;
    Spark samples the composite key, so a hot key value is still split);
-2. checkpoint reliably so every later read sees the same partition ids;
-3. one ordered, Arrow-batched pass per partition gives the local row number,
+2. one ordered, Arrow-batched pass per partition gives the local row number,
    the local rank (first row of the run of equal keys) and a local running sum;
+3. that result is checkpointed reliably, so every later read sees the same
+   partition ids and the Python pass never runs twice;
 4. a per-partition summary (one row per partition — bounded by the partition
    count, so it is broadcast) gives each partition its offsets.  A run of equal
    keys that spans partitions is repaired with the summary's tail lengths.
@@ -74,12 +75,12 @@ def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None =
     ordered = (df.repartitionByRange(parts, k, F.col(tie).asc())
                  .sortWithinPartitions(k, F.col(tie).asc())
                  .withColumn("_part", F.spark_partition_id()))
-    ordered = ordered.checkpoint(eager=True)
-
     out_schema = T.StructType(ordered.schema.fields + [
         T.StructField("_lrow", T.LongType()), T.StructField("_lrank", T.LongType()),
         T.StructField("_lrun", T.LongType())])
-    local = ordered.mapInPandas(_scan_fn(key, amount), out_schema)
+    # The ordered scan and the partition ids are fixed by one reliable checkpoint:
+    # the summary and the final join below both read it, nothing is recomputed.
+    local = ordered.mapInPandas(_scan_fn(key, amount), out_schema).checkpoint(eager=True)
 
     first, last = (F.max, F.min) if descending else (F.min, F.max)
     summary = (local.groupBy("_part")
