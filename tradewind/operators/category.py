@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import category_label, round_half_up
-from tradewind.operators.common import conform, item_revenue, product_categories, scalar
+from tradewind.operators.common import conform, item_revenue, scalar, with_category
 from tradewind.operators.seller import sold_items
+from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
 # Fixed values of the source pipeline: trend and average-comparison labels and thresholds.
@@ -40,8 +41,7 @@ CATEGORY_ANALYSIS_SCHEMA = [
 def daily_category_revenue(m: Marketplace) -> DataFrame:
     """(category, seller state, day) revenue, items, distinct sellers, mean price."""
     sellers = m.sellers.select("seller_id", F.upper(F.trim("seller_state")).alias("seller_state"))
-    x = (sold_items(m)
-         .join(product_categories(m.products, m.category_translation), "product_id")
+    x = (with_category(sold_items(m), m.products, m.category_translation)
          .join(sellers, "seller_id")
          .withColumnRenamed("category", "category_name_en"))
     return x.groupBy("category_name_en", "seller_state", "order_date").agg(
@@ -105,8 +105,16 @@ def trend_labels(df: DataFrame) -> DataFrame:
     return df.withColumn("share_trend", trend).withColumn("revenue_vs_avg", vs)
 
 
+def daily_category_materialized(m: Marketplace) -> DataFrame:
+    """J15 checkpointed: the day grain is read twice (monthly roll-up and the
+    last-day subquery), and the subquery's filter is pushed into the main scan,
+    so the two plans cannot share an exchange.  Materialise it once instead of
+    joining all items twice."""
+    return materialize(daily_category_revenue(m), "category-daily")
+
+
 def category_deltas_of(m: Marketplace) -> DataFrame:
-    return category_share_delta(category_share(monthly_category(daily_category_revenue(m))))
+    return category_share_delta(category_share(monthly_category(daily_category_materialized(m))))
 
 
 def category_analysis(m: Marketplace, sort: bool = True) -> DataFrame:

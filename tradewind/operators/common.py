@@ -24,17 +24,20 @@ def item_revenue() -> Column:
     return F.col("price") + F.col("freight_value")
 
 
-def product_categories(products: DataFrame, translation: DataFrame) -> DataFrame:
-    """product_id -> category key: English name, else Portuguese, else 'uncategorized' (D3, I5).
-
-    Dimension-to-dimension join first, so the big item stream meets one
-    product-grain table; AQE broadcasts it when its runtime size allows.
+def with_category(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Attach the category key to item rows: English name, else Portuguese, else
+    'uncategorized' (D2 inner join to products, D3 left join to the translation, I5).
+
+    Items meet each dimension table directly, so each join is planned from that
+    table's own measured size (broadcast while it is under Spark's threshold,
+    shuffled beyond it); a products-translation pre-join would multiply the two
+    size estimates and force a shuffle of the item stream.
     """
-    return (products.select("product_id", "product_category_name")
-                    .join(translation, "product_category_name", "left")
-                    .select("product_id",
-                            F.coalesce("product_category_name_english", "product_category_name",
-                                       F.lit(UNCATEGORIZED)).alias("category")))
+    return (items.join(products.select("product_id", "product_category_name"), "product_id")
+                 .join(translation, "product_category_name", "left")
+                 .withColumn("category", F.coalesce("product_category_name_english", "product_category_name",
+                                                    F.lit(UNCATEGORIZED)))
+                 .drop("product_category_name", "product_category_name_english"))
 
 
 def mode_of(value: str, weight: str) -> Column:

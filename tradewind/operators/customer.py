@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import hour_boundary_diff, round_half_up, to_month
 from tradewind.operators.common import EXCLUDED_STATUSES, conform, is_valid_status, item_revenue, scalar
 from tradewind.operators.ranking import percentiles_cont
+from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
 # Fixed values of the source pipeline: revenue tiers.
@@ -146,7 +147,9 @@ def customer_summary(paid: DataFrame, thresholds: DataFrame | None = None) -> Da
 
 def customer_and_delivery(m: Marketplace, sort: bool = True) -> DataFrame:
     """Every person, with purchase, revenue, delivery and cancellation columns."""
-    paid = paid_orders(m)
+    # Paid orders feed the percentile job and four per-person aggregates: one
+    # reliable checkpoint instead of re-scanning the items for each.
+    paid = materialize(paid_orders(m), "paid-orders")
     out = (all_customers(m.customers)
            .join(customer_summary(paid), PERSON, "left")
            .join(second_purchase(paid), PERSON, "left")

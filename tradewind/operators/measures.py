@@ -241,7 +241,7 @@ def churn_tier_counts(risk: DataFrame) -> DataFrame:
 
 def category_monthly_overall(m: Marketplace) -> DataFrame:
     """Complete-month revenue per category over all states (the dashboard's grain)."""
-    monthly = cat.monthly_category(cat.daily_category_revenue(m))
+    monthly = cat.monthly_category(cat.daily_category_materialized(m))
     return monthly.groupBy("category_name_en", "month").agg(F.sum("monthly_revenue").alias("monthly_revenue"))
 
 

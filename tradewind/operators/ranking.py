@@ -8,8 +8,8 @@ with work spread over all partitions:
    Spark samples the composite key, so a hot key value is still split);
 2. one ordered, Arrow-batched pass per partition gives the local row number,
    the local rank (first row of the run of equal keys) and a local running sum;
-3. that result is checkpointed reliably, so every later read sees the same
-   partition ids and the Python pass never runs twice;
+3. that result (partition id included as a column) is materialised once in the
+   shared checkpoint folder, so the Python pass never runs twice;
 4. a per-partition summary (one row per partition — bounded by the partition
    count, so it is broadcast) gives each partition its offsets.  A run of equal
    keys that spans partitions is repaired with the summary's tail lengths.
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.session import ensure_checkpoint_dir
+from tradewind.session import materialize
 
 POS, RANK, RUN, COUNT, TOTAL = "_pos", "_rank", "_run", "_n", "_total"
 
@@ -69,7 +69,6 @@ def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None =
     are exact.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = F.col(key).desc() if descending else F.col(key).asc()
     ordered = (df.repartitionByRange(parts, k, F.col(tie).asc())
@@ -78,9 +77,9 @@ def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None =
     out_schema = T.StructType(ordered.schema.fields + [
         T.StructField("_lrow", T.LongType()), T.StructField("_lrank", T.LongType()),
         T.StructField("_lrun", T.LongType())])
-    # The ordered scan and the partition ids are fixed by one reliable checkpoint:
+    # The ordered scan and the partition ids are fixed by one materialisation:
     # the summary and the final join below both read it, nothing is recomputed.
-    local = ordered.mapInPandas(_scan_fn(key, amount), out_schema).checkpoint(eager=True)
+    local = materialize(ordered.mapInPandas(_scan_fn(key, amount), out_schema), "positions")
 
     first, last = (F.max, F.min) if descending else (F.min, F.max)
     summary = (local.groupBy("_part")

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import category_label, round_half_up
-from tradewind.operators.common import (conform, item_revenue, mode_of, product_categories, scalar,
-                                        valid_orders)
+from tradewind.operators.common import conform, item_revenue, mode_of, scalar, valid_orders, with_category
 from tradewind.operators.ranking import COUNT, POS, RANK, RUN, TOTAL, global_positions, ntile
+from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
 SELLER_PROFILE_SCHEMA = [
@@ -39,8 +39,7 @@ def daily_seller_revenue(m: Marketplace) -> DataFrame:
     partial aggregate that collapses hot sellers before the shuffle — then
     (seller, day) picking the top category from the per-category counts.
     """
-    items = (sold_items(m)
-             .join(product_categories(m.products, m.category_translation), "product_id")
+    items = (with_category(sold_items(m), m.products, m.category_translation)
              .select("seller_id", "order_date", "category", item_revenue().alias("rev")))
     per_cat = items.groupBy("seller_id", "order_date", "category").agg(
         F.sum("rev").alias("rev"), F.count(F.lit(1)).alias("n"))
@@ -113,7 +112,9 @@ def seller_growth(periods: DataFrame) -> DataFrame:
 
 def seller_profile(m: Marketplace, sort: bool = True) -> DataFrame:
     """Lifetime Pareto columns plus trailing-90-day activity (NULL when idle)."""
-    daily = daily_seller_revenue(m)
+    # The seller-day grain feeds three reads (lifetime ranking, last-day subquery,
+    # trailing window).  One reliable checkpoint scans and joins the items once.
+    daily = materialize(daily_seller_revenue(m), "seller-daily")
     ranked = seller_pareto(seller_lifetime_totals(daily), m.sellers)
     growth = seller_growth(seller_periods(trailing_90d(daily)))
     out = (ranked.join(growth, "seller_id", "left")

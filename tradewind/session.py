@@ -58,3 +58,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, label: str = "stage"):
+    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint
+    folder and reading it back.
+
+    One job computes the rows once (an eager ``checkpoint()`` computes them
+    twice: once to count, once to save), the files are columnar and survive the
+    loss of any executor, and later reads are vectorised scans.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tradewind-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
