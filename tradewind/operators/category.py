@@ -52,8 +52,9 @@ def daily_category_revenue(m: Marketplace) -> DataFrame:
 
 
 def monthly_category(daily: DataFrame) -> DataFrame:
-    """Roll days up to months; the month containing the last sale day is
-    dropped unless that day closes it (complete months only)."""
+    """Roll days up to months, keeping a month only when the last sale day
+    overall falls on or after the first day of the next month (so the month of
+    the last sale day is always dropped as possibly partial)."""
     last = scalar(daily, F.max("order_date"))
     month = F.trunc("order_date", "MM")
     exact_price = F.col("avg_item_price").cast("decimal(18,2)")
