@@ -22,8 +22,10 @@ def month_index_diff(start: Column | str, end: Column | str) -> Column:
 
 
 def hour_boundary_diff(start: Column | str, end: Column | str) -> Column:
-    """Hour boundaries crossed from start to end (10:59 -> 11:01 is 1)."""
-    return F.timestamp_diff("HOUR", F.date_trunc("HOUR", _c(start)), F.date_trunc("HOUR", _c(end)))
+    """Hour boundaries crossed from start to end (10:59 -> 11:01 is 1), on wall-clock
+    fields, so the result does not depend on the session time zone."""
+    s, e = _c(start), _c(end)
+    return (F.datediff(F.to_date(e), F.to_date(s)) * 24 + F.hour(e) - F.hour(s)).cast("bigint")
 
 
 def sunday_zero_weekday(col: Column | str) -> Column:
