@@ -30,6 +30,12 @@ def _exact(c: str | Column) -> Column:
     return col.cast(MONEY)
 
 
+def _whole() -> Window:
+    """Window over a whole, already aggregated table (rows bounded by tiers, states or
+    calendar months — never by the data volume)."""
+    return Window.partitionBy()
+
+
 def _pct(num: Column, den: Column, places: int = 2) -> Column:
     return round_half_up(F.try_divide(num.cast("double"), den.cast("double")) * 100.0, places)
 
@@ -168,8 +174,8 @@ STATE_REVENUE_SCHEMA = [("seller_state", "VARCHAR"), ("revenue", "DOUBLE"), ("re
 def revenue_by_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
     """M9: revenue per seller state with its share of the total."""
     x = fact.join(sellers.select("seller_id", "seller_state"), "seller_id", "left")
-    total = scalar(fact, F.sum(_exact("gross_revenue")))
     out = x.groupBy("seller_state").agg(F.sum(_exact("gross_revenue")).alias("revenue"))
+    total = F.sum("revenue").over(_whole())        # over the state rows
     return conform(out.withColumn("revenue_share_pct", _pct(F.col("revenue"), total)), STATE_REVENUE_SCHEMA)
 
 
@@ -232,8 +238,8 @@ CHURN_TIER_SCHEMA = [("churn_risk_tier", "VARCHAR"), ("sellers", "BIGINT"), ("sh
 
 def churn_tier_counts(risk: DataFrame) -> DataFrame:
     """Sellers per tier and their share."""
-    total = scalar(risk, F.count(F.lit(1)))
     g = risk.groupBy("churn_risk_tier").agg(F.count(F.lit(1)).alias("sellers"))
+    total = F.sum("sellers").over(_whole())        # over the tier rows (at most four)
     return conform(g.withColumn("share_pct", _pct(F.col("sellers"), total)), CHURN_TIER_SCHEMA)
 
 
@@ -349,9 +355,9 @@ TIER_REVENUE_SCHEMA = [("revenue_tier", "VARCHAR"), ("customers", "BIGINT"), ("r
 
 def revenue_by_tier(cd: DataFrame) -> DataFrame:
     """Revenue per customer value tier and its share."""
-    total = scalar(cd, F.sum(_exact("total_revenue")))
     g = cd.groupBy("revenue_tier").agg(F.count(F.lit(1)).alias("customers"),
                                        F.sum(_exact("total_revenue")).alias("revenue"))
+    total = F.sum("revenue").over(_whole())        # over the tier rows (at most four)
     return conform(g.withColumn("revenue_share_pct", _pct(F.col("revenue"), total)), TIER_REVENUE_SCHEMA)
 
 
@@ -361,21 +367,22 @@ ACQUISITION_SCHEMA = [("cohort_month", "DATE"), ("x", "BIGINT"), ("new_customers
 
 def acquisition_trend(cd: DataFrame) -> DataFrame:
     """New persons per cohort month and a least-squares trend line with
-    X = months since the first cohort + 1.  The sums are exact integers, so the
-    slope and intercept do not depend on summation order."""
+    X = months since the first cohort + 1.  The fit runs over the cohort table
+    (one row per calendar month), and its sums are exact integers, so slope and
+    intercept do not depend on summation order."""
     g = (cd.filter(F.col("cohort_month").isNotNull())
            .groupBy("cohort_month").agg(F.count(F.lit(1)).alias("y")))
-    origin = scalar(g, F.min("cohort_month"))
-    g = g.withColumn("x", (F.year("cohort_month") * 12 + F.month("cohort_month"))
-                     - (F.year(origin) * 12 + F.month(origin)) + 1)
-    fit = scalar(g, F.struct(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                             F.sum(F.col("x") * F.col("y")).alias("sxy"),
-                             F.sum(F.col("x") * F.col("x")).alias("sxx")))
-    n, sx, sy, sxy, sxx = (fit.getField(f) for f in ("n", "sx", "sy", "sxy", "sxx"))
-    slope = F.try_divide((n * sxy - sx * sy).cast("double"), (n * sxx - sx * sx).cast("double"))
-    intercept = (sy.cast("double") - slope * sx.cast("double")) / n.cast("double")
-    out = g.select("cohort_month", "x", F.col("y").alias("new_customers"),
-                   round_half_up(intercept + slope * F.col("x").cast("double"), 4).alias("trend_new_customers"))
+    w = _whole()
+    idx = F.year("cohort_month") * 12 + F.month("cohort_month")
+    g = g.withColumn("x", (idx - F.min(idx).over(w) + 1).cast("bigint"))
+    n, sx, sy = F.count(F.lit(1)).over(w), F.sum("x").over(w), F.sum("y").over(w)
+    sxy, sxx = F.sum(F.col("x") * F.col("y")).over(w), F.sum(F.col("x") * F.col("x")).over(w)
+    fit = g.select("*", n.alias("n"), sx.alias("sx"), sy.alias("sy"), sxy.alias("sxy"), sxx.alias("sxx"))
+    slope = F.try_divide((F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")).cast("double"),
+                         (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double"))
+    intercept = (F.col("sy").cast("double") - slope * F.col("sx").cast("double")) / F.col("n").cast("double")
+    out = fit.select("cohort_month", "x", F.col("y").alias("new_customers"),
+                     round_half_up(intercept + slope * F.col("x").cast("double"), 4).alias("trend_new_customers"))
     return conform(out, ACQUISITION_SCHEMA)
 
 
