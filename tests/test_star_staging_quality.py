@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.builders import item, market, money, order
 from tradewind.operators import quality, staging, star
