@@ -26,21 +26,23 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def _row(df: DataFrame, name: str, value: F.Column, rule: str, passed) -> DataFrame:
-    v = value.cast("bigint")
-    return df.agg(v.alias("value")).select(
-        F.lit(name).alias("check_name"), F.col("value"), F.lit(rule).alias("rule"),
-        passed(F.col("value")).alias("passed"))
+def _checks(df: DataFrame, checks: list[tuple[str, F.Column, str, object]]) -> DataFrame:
+    """Several checks on one table from a single aggregate (one scan), one row each."""
+    agg = df.agg(*[value.cast("bigint").alias(f"v{i}") for i, (_, value, _, _) in enumerate(checks)])
+    rows = [F.struct(F.lit(name).alias("check_name"), F.col(f"v{i}").alias("value"), F.lit(rule).alias("rule"),
+                     passed(F.col(f"v{i}")).alias("passed"))
+            for i, (name, _, rule, passed) in enumerate(checks)]
+    return agg.select(F.inline(F.array(*rows)))
 
 
-def check_min_rows(df: DataFrame, table: str, minimum: int) -> DataFrame:
+def min_rows_check(table: str, minimum: int):
     """L2: staged table has at least ``minimum`` rows."""
-    return _row(df, f"rows:{table}", F.count(F.lit(1)), f">= {minimum}", lambda v: v >= minimum)
+    return (f"rows:{table}", F.count(F.lit(1)), f">= {minimum}", lambda v: v >= minimum)
 
 
-def check_zero(df: DataFrame, name: str, condition: F.Column) -> DataFrame:
+def zero_check(name: str, condition: F.Column):
     """L3/L4: no row satisfies ``condition``."""
-    return _row(df, name, F.count_if(condition), "= 0", lambda v: v == 0)
+    return (name, F.count_if(condition), "= 0", lambda v: v == 0)
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -49,14 +51,16 @@ def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def dq_report(m: Marketplace, min_rows: dict[str, int] | None = None) -> DataFrame:
-    """L1-L5 as one report DataFrame."""
+    """L1-L5 as one report DataFrame; each table is scanned once for its checks."""
     limits = dict(MIN_ROWS, **(min_rows or {}))
-    parts = [check_min_rows(getattr(m, t), t, n) for t, n in limits.items()]
-    parts.append(check_zero(m.order_items, "nonpositive_or_null_price",
-                            F.col("price").isNull() | (F.col("price") <= 0)))
-    parts.append(check_zero(m.orders, "null_purchase_timestamp", F.col("order_purchase_timestamp").isNull()))
-    parts.append(_row(orphan_items(m.order_items, m.orders), "orphan_order_items", F.count(F.lit(1)), "= 0",
-                      lambda v: v == 0))
+    extra = {
+        "order_items": [zero_check("nonpositive_or_null_price", F.col("price").isNull() | (F.col("price") <= 0))],
+        "orders": [zero_check("null_purchase_timestamp", F.col("order_purchase_timestamp").isNull())],
+    }
+    parts = [_checks(getattr(m, t), [min_rows_check(t, n)] + extra.get(t, [])) for t, n in limits.items()]
+    parts += [_checks(getattr(m, t), checks) for t, checks in extra.items() if t not in limits]
+    parts.append(_checks(orphan_items(m.order_items, m.orders),
+                         [("orphan_order_items", F.count(F.lit(1)), "= 0", lambda v: v == 0)]))
     return reduce(DataFrame.unionByName, parts)
 
 
