@@ -59,14 +59,16 @@ def _scan_fn(key: str, amount: str | None):
 
 
 def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None = None,
-                     descending: bool = True, num_partitions: int | None = None) -> DataFrame:
+                     descending: bool = True, num_partitions: int | None = None,
+                     keep_tie: bool = True) -> DataFrame:
     """Add ``_pos`` (1-based ROW_NUMBER over (key, tie)), ``_rank`` (RANK over key),
     ``_run`` (running sum of the integer column ``amount``), ``_n`` (row count) and
     ``_total`` (sum of ``amount``).
 
     ``key`` must be a non-NULL numeric column (long or double), ``tie`` must make
-    the order total, ``amount`` must be integral (money in cents) so running sums
-    are exact.
+    the order total (a struct orders field by field), ``amount`` must be integral
+    (money in cents) so running sums are exact.  ``keep_tie=False`` drops the tie
+    column before the Arrow pass.
     """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -74,6 +76,8 @@ def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None =
     ordered = (df.repartitionByRange(parts, k, F.col(tie).asc())
                  .sortWithinPartitions(k, F.col(tie).asc())
                  .withColumn("_part", F.spark_partition_id()))
+    if not keep_tie:                       # order inside each partition is already fixed
+        ordered = ordered.drop(tie)
     out_schema = T.StructType(ordered.schema.fields + [
         T.StructField("_lrow", T.LongType()), T.StructField("_lrank", T.LongType()),
         T.StructField("_lrun", T.LongType())])
@@ -105,7 +109,7 @@ def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None =
     joined = local.join(F.broadcast(summary), "_part")
     head = F.col(key) == F.col("_first")
     result = joined.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in df.columns if keep_tie or c != tie],
         (F.col("_offset") + F.col("_lrow")).alias(POS),
         (F.col("_offset") + F.col("_lrank") - F.when(head, F.col("_carry")).otherwise(0)).alias(RANK),
         (F.col("_before") + F.col("_lrun")).alias(RUN),

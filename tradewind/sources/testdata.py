@@ -6,10 +6,11 @@ both sides must agree row for row, so any change here is mirrored there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators import staging
+from tradewind.operators.ranking import POS, RANK, global_positions
 from tradewind.sources.tables import Marketplace, RawMarketplace
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -90,14 +91,21 @@ def typed_orders(t) -> DataFrame:
 
 
 def typed_order_items(t) -> DataFrame:
+    """Items with ``order_item_id`` = ROW_NUMBER() OVER (PARTITION BY order ORDER BY line,
+    part, supplier, price, ship date) — (l_orderkey, l_linenumber) repeats in the test data.
+
+    Computed as global position minus the order's first position plus one, in the
+    global (order, line, ...) ordering, so a single order holding a large share of
+    all lines is still numbered by many tasks instead of one window task.
+    """
     li = t["lineitem"]
-    # (l_orderkey, l_linenumber) repeats in the test data: number the lines of each order instead.
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                                                 "l_shipdate")
+    tie = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("_line")
+    lines = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", tie)
+    pos = global_positions(lines, "l_orderkey", "_line", descending=False, keep_tie=False)
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    return li.select(
+    return pos.select(
         F.col("l_orderkey").alias("order_id"),
-        F.row_number().over(w).alias("order_item_id"),
+        (F.col(POS) - F.col(RANK) + 1).cast("int").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         price.alias("price"),
