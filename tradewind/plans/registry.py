@@ -22,9 +22,24 @@ from tradewind.sources.testdata import load_testdata
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_MARKETS: dict[tuple[str, str, bool], Marketplace] = {}
+
+
+def staged_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False) -> Marketplace:
+    """The staged marketplace over ``sf_dir``, built once per Spark application.
+
+    DataFrames are immutable plans, so every query of the session can start from
+    the same staged tables (the test-data line numbering is materialised once).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), zero_months)
+    if key not in _MARKETS:
+        _MARKETS[key] = load_testdata(spark, sf_dir, zero_months=zero_months)
+    return _MARKETS[key]
+
+
 def _staged(fn: Callable[[Marketplace], DataFrame], zero_months: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_testdata(spark, sf_dir, zero_months=zero_months))
+        return fn(staged_testdata(spark, sf_dir, zero_months=zero_months))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 

@@ -150,7 +150,8 @@ def load_raw_testdata(spark: SparkSession, sf_dir: str) -> RawMarketplace:
 
 
 def load_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False) -> Marketplace:
-    """Staged marketplace over the test parquet (lazy; nothing runs here)."""
+    """Staged marketplace over the test parquet (lazy apart from the one pass that
+    numbers order lines)."""
     t = read_tables(spark, sf_dir)
     raw = RawMarketplace(
         sellers=raw_sellers(t), products=raw_products(t), category_translation=raw_category_translation(t),
