@@ -28,7 +28,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     workers = int(os.environ.get("BENCH_WORKERS", "4"))
-    spark = build_session(f"local[{cpus}]", app="tradewind-bench", shuffle_partitions=int(cpus),
+    parts = int(os.environ.get("BENCH_PARTITIONS", cpus))
+    spark = build_session(f"local[{cpus}]", app="tradewind-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g"})
     scratch = tempfile.mkdtemp(prefix="tradewind-bench-")
     # Warm-up on the smallest data (JIT, Python workers); not timed.

@@ -131,3 +131,33 @@ def test_properties_on_test_data(spark):
     assert share.filter(F.abs(F.col("s") - 100) > 0.5).count() == 0
     risk = churn.churn_risk(m)
     assert risk.filter((F.col("churn_risk_score") < 0) | (F.col("churn_risk_score") > 100)).count() == 0
+
+
+def test_streaks_three_two_one_and_s3(spark):
+    months = ["2020-01-05", "2020-02-05", "2020-03-05"]
+    pattern = {1: [10, 0, 0], 2: [0, 0], 3: [10, 0, 10]}          # A Z Z / Z Z / A Z A
+    orders, items, oid = [], [], 0
+    for s, vals in pattern.items():
+        for mth, v in zip(months, vals):
+            oid += 1
+            orders.append(order(oid, 1, "delivered", mth + " 10:00:00"))
+            items.append(item(oid, 1, 1, s, v))
+    m = market(spark, orders=orders, order_items=items)
+    streaks = churn.zero_month_streak(churn.seller_timeseries_of(m))
+    assert {r.seller_id: r.streak_length for r in streaks.collect()} == {1: 3, 2: 2, 3: 1}
+    # S3 alone: latest rows with no revenue signal and enough tenure
+    latest = spark.createDataFrame([(s, "SP", None, 5, None, 0.0, None, None, None) for s in (1, 2, 3)],
+                                   "seller_id long, seller_state string, cohort_month date, months_since_first_sale long, "
+                                   "latest_month date, latest_revenue double, prev_month_revenue double, "
+                                   "revenue_3m_ago double, rolling_6m_avg double")
+    scores = {r.seller_id: r.churn_risk_score for r in churn.churn_signals(latest, streaks).collect()}
+    assert scores == {1: 25.0, 2: 25.0, 3: 0.0}
+
+
+def test_dimension_keys_are_unique(spark):
+    from tradewind.operators import star
+    from tradewind.sources.testdata import load_testdata
+    m = load_testdata(spark, "/root/testdata/sf0.001")
+    for df, key in [(star.dim_seller(m), "seller_id"), (star.dim_customer(m), "customer_unique_id"),
+                    (star.dim_product(m), "product_id"), (star.dim_date(m), "date")]:
+        assert df.groupBy(key).count().filter(F.col("count") > 1).count() == 0
