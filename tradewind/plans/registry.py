@@ -31,7 +31,7 @@ def staged_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False)
     DataFrames are immutable plans, so every query of the session can start from
     the same staged tables (the test-data line numbering is materialised once).
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), zero_months)
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"), zero_months)
     if key not in _MARKETS:
         _MARKETS[key] = load_testdata(spark, sf_dir, zero_months=zero_months)
     return _MARKETS[key]

@@ -55,8 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="tradewind-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
+    sc.setCheckpointDir(path)          # later calls find it through getCheckpointDir()
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:                  # some versions reject runtime changes of core settings
+        pass
     return path
 
 
