@@ -70,10 +70,12 @@ def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None =
     (money in cents) so running sums are exact.  ``keep_tie=False`` drops the tie
     column before the Arrow pass.
     """
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = F.col(key).desc() if descending else F.col(key).asc()
-    ordered = (df.repartitionByRange(parts, k, F.col(tie).asc())
+    # Without an explicit count the range exchange has spark.sql.shuffle.partitions
+    # partitions and AQE may merge neighbours (still in order) when they are small.
+    ranged = (df.repartitionByRange(num_partitions, k, F.col(tie).asc()) if num_partitions
+              else df.repartitionByRange(k, F.col(tie).asc()))
+    ordered = (ranged
                  .sortWithinPartitions(k, F.col(tie).asc())
                  .withColumn("_part", F.spark_partition_id()))
     if not keep_tie:                       # order inside each partition is already fixed
