@@ -105,7 +105,7 @@ def typed_order_items(t) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     return pos.select(
         F.col("l_orderkey").alias("order_id"),
-        (F.col(POS) - F.col(RANK) + 1).cast("int").alias("order_item_id"),
+        (F.col(POS) - F.col(RANK) + 1).alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         price.alias("price"),
