@@ -17,6 +17,9 @@ from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
 # Fixed values of the source pipeline: trend and average-comparison labels and thresholds.
+TREND_NEW, TREND_RETURNED, TREND_GAINING, TREND_LOSING, TREND_STABLE = (
+    "New", "Returned", "Gaining Share", "Losing Share", "Stable")
+VS_ABOVE, VS_BELOW, VS_ON_TRACK = "Above Average", "Below Average", "On Track"
 SHARE_TREND_THRESHOLD = 0.20
 AVG_BAND = (0.9, 1.1)
 
@@ -94,15 +97,15 @@ def trend_labels(df: DataFrame) -> DataFrame:
     """J19 labels: share trend (relative ±20 %) and revenue vs own average (±10 %)."""
     prev, delta, months = F.col("prev_month_share_pct"), F.col("share_delta_pp"), F.col("months_active")
     ratio = F.try_divide(delta, prev)
-    trend = (F.when(prev.isNull() & (months == 1), "New")
-              .when(prev.isNull() & (months > 1), "Returned")
-              .when(ratio >= SHARE_TREND_THRESHOLD, "Gaining Share")
-              .when(ratio <= -SHARE_TREND_THRESHOLD, "Losing Share")
-              .otherwise("Stable"))
+    trend = (F.when(prev.isNull() & (months == 1), TREND_NEW)
+              .when(prev.isNull() & (months > 1), TREND_RETURNED)
+              .when(ratio >= SHARE_TREND_THRESHOLD, TREND_GAINING)
+              .when(ratio <= -SHARE_TREND_THRESHOLD, TREND_LOSING)
+              .otherwise(TREND_STABLE))
     rev, avg = F.col("monthly_revenue").cast("double"), F.col("avg_monthly_revenue")
-    vs = (F.when(rev > avg * AVG_BAND[1], "Above Average")
-           .when(rev < avg * AVG_BAND[0], "Below Average")
-           .otherwise("On Track"))
+    vs = (F.when(rev > avg * AVG_BAND[1], VS_ABOVE)
+           .when(rev < avg * AVG_BAND[0], VS_BELOW)
+           .otherwise(VS_ON_TRACK))
     return df.withColumn("share_trend", trend).withColumn("revenue_vs_avg", vs)
 
 

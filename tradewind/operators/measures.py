@@ -206,9 +206,10 @@ CHURN_KPIS_SCHEMA = [("critical_sellers", "BIGINT"), ("high_sellers", "BIGINT"),
 def churn_kpis(risk: DataFrame) -> DataFrame:
     """Critical / High seller counts and their latest monthly revenue."""
     tier = F.col("churn_risk_tier")
-    at_risk = tier.isin("Critical", "High")
-    out = risk.agg(F.count_if(tier == "Critical").alias("critical_sellers"),
-                   F.count_if(tier == "High").alias("high_sellers"),
+    critical, high = churn.TIERS[0][1], churn.TIERS[1][1]
+    at_risk = tier.isin(critical, high)
+    out = risk.agg(F.count_if(tier == critical).alias("critical_sellers"),
+                   F.count_if(tier == high).alias("high_sellers"),
                    F.coalesce(F.sum(F.when(at_risk, _exact("latest_revenue"))), F.lit(0).cast(MONEY))
                     .alias("revenue_at_risk"))
     return conform(out, CHURN_KPIS_SCHEMA)
@@ -271,8 +272,8 @@ def category_kpis(trends: DataFrame) -> DataFrame:
     gain = F.min_by(F.struct(F.col("label"), delta), F.when(delta.isNotNull(), F.struct(-delta, F.col("label"))))
     lose = F.min_by(F.struct(F.col("label"), delta), F.when(delta.isNotNull(), F.struct(delta, F.col("label"))))
     out = x.agg(F.max("month").alias("latest_month"), gain.alias("g"), lose.alias("l"),
-                F.count_if(F.col("share_trend") == "Gaining Share").alias("gaining_categories"),
-                F.count_if(F.col("share_trend") == "Losing Share").alias("losing_categories"))
+                F.count_if(F.col("share_trend") == cat.TREND_GAINING).alias("gaining_categories"),
+                F.count_if(F.col("share_trend") == cat.TREND_LOSING).alias("losing_categories"))
     out = out.select("latest_month", F.col("g.label").alias("top_gainer"),
                      F.col("g.share_delta_pp").alias("top_gainer_delta_pp"), F.col("l.label").alias("top_loser"),
                      F.col("l.share_delta_pp").alias("top_loser_delta_pp"), "gaining_categories",
