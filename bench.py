@@ -28,6 +28,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     workers = int(os.environ.get("BENCH_WORKERS", "4"))
+    bucketed = os.environ.get("BENCH_BUCKETED", "0") == "1"
     parts = int(os.environ.get("BENCH_PARTITIONS", cpus))
     spark = build_session(f"local[{cpus}]", app="tradewind-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g"})
@@ -37,7 +38,8 @@ def main() -> None:
                  min_rows={k: 0 for k in ("sellers", "products", "orders", "order_items", "order_payments")},
                  workers=workers)
     t0 = time.perf_counter()
-    result = run_pipeline(spark, load_raw_testdata(spark, sf_dir), f"{scratch}/run", workers=workers)
+    result = run_pipeline(spark, load_raw_testdata(spark, sf_dir), f"{scratch}/run", workers=workers,
+                          bucketed=bucketed)
     wall = time.perf_counter() - t0
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"rows": result["rows"]}), file=sys.stderr)

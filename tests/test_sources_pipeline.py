@@ -68,3 +68,12 @@ def test_pipeline_from_raw_csv_matches_parquet_adapters(spark):
                             min_rows=limits)["rows"]
     from_parquet = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="tradewind-p2-"), min_rows=limits)["rows"]
     assert from_csv == from_parquet
+
+
+def test_bucketed_staging_gives_same_results(spark):
+    raw = load_raw_testdata(spark, "/root/testdata/sf0.001")
+    limits = {k: 0 for k in quality.MIN_ROWS}
+    plain = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="tradewind-b0-"), min_rows=limits)["rows"]
+    bucketed = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="tradewind-b1-"), min_rows=limits, bucketed=True)
+    assert bucketed["rows"] == plain
+    assert spark.table(f"{STAGING_DB}.order_items").rdd.getNumPartitions() >= 1

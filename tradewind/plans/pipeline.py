@@ -1,10 +1,10 @@
 """End-to-end pipeline: stage -> quality gate -> marts -> star schema -> exports.
 
 One SparkSession, one driver program.  Staged tables are written once to the
-``staging`` database (parquet; the order-grain tables bucketed on ``order_id`` so
-items, orders and payments join without a shuffle) and every later step reads
-them back from storage, so a lost executor never forces recomputation of the
-ingest.  Exports are written with row counts observed in the same job.
+``staging`` database (parquet; optionally the order-grain tables bucketed on
+``order_id`` so items, orders and payments join without a shuffle) and every
+later step reads them back from storage, so a lost executor never forces
+recomputation of the ingest.  Exports are written with row counts observed in the same job.
 """
 
 from __future__ import annotations
@@ -57,14 +57,15 @@ def _concurrently(steps: dict, workers: int) -> dict:
 
 
 def write_staging(spark: SparkSession, raw: RawMarketplace, root: str, buckets: int | None = None,
-                  bucketed: bool = True, workers: int = 4) -> dict[str, int]:
+                  bucketed: bool = False, workers: int = 4) -> dict[str, int]:
     """A4: (re)create the staging database and materialise every cleaned table.
 
     With ``bucketed`` the order-grain tables share ``buckets`` buckets on
-    ``order_id``: the item-order-payment joins then need no exchange.  A bucket
-    is read by one task, so when a single order may hold a large share of all
-    items, pass ``bucketed=False`` (or set ``spark.sql.sources.bucketing.enabled``
-    to false): joins then shuffle and AQE splits the skewed partition.
+    ``order_id``: the item-order-payment joins then need no exchange.  It is off
+    by default: a bucket is read by one task and cannot be split, so one order
+    holding a large share of all items would make one task do that share.
+    Without it the joins shuffle and AQE's skew-join splits a hot partition.
+    Turn it on when the order key is known not to be hot.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.sql(f"DROP DATABASE IF EXISTS {STAGING_DB} CASCADE")
@@ -97,7 +98,7 @@ def read_staging(spark: SparkSession) -> Marketplace:
 
 
 def run_pipeline(spark: SparkSession, raw: RawMarketplace, root: str, *, min_rows: dict[str, int] | None = None,
-                 export_format: str = "csv", bucketed: bool = True, workers: int = 4) -> dict[str, dict]:
+                 export_format: str = "csv", bucketed: bool = False, workers: int = 4) -> dict[str, dict]:
     """Run every step; returns row counts and wall seconds per step.  Raises
     ``QualityGateError`` (L7) before any mart is written when a check fails.
 
