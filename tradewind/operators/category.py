@@ -110,7 +110,7 @@ def trend_labels(df: DataFrame) -> DataFrame:
 
 
 def daily_category_materialized(m: Marketplace) -> DataFrame:
-    """J15 checkpointed: the day grain is read twice (monthly roll-up and the
+    """J15 materialised: the day grain is read twice (monthly roll-up and the
     last-day subquery), and the subquery's filter is pushed into the main scan,
     so the two plans cannot share an exchange.  Materialise it once instead of
     joining all items twice."""

@@ -148,7 +148,7 @@ def customer_summary(paid: DataFrame, thresholds: DataFrame | None = None) -> Da
 def customer_and_delivery(m: Marketplace, sort: bool = True) -> DataFrame:
     """Every person, with purchase, revenue, delivery and cancellation columns."""
     # Paid orders feed the percentile job and four per-person aggregates: one
-    # reliable checkpoint instead of re-scanning the items for each.
+    # materialisation in the checkpoint folder instead of re-scanning the items for each.
     paid = materialize(paid_orders(m), "paid-orders")
     out = (all_customers(m.customers)
            .join(customer_summary(paid), PERSON, "left")

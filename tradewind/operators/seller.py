@@ -113,7 +113,7 @@ def seller_growth(periods: DataFrame) -> DataFrame:
 def seller_profile(m: Marketplace, sort: bool = True) -> DataFrame:
     """Lifetime Pareto columns plus trailing-90-day activity (NULL when idle)."""
     # The seller-day grain feeds three reads (lifetime ranking, last-day subquery,
-    # trailing window).  One reliable checkpoint scans and joins the items once.
+    # trailing window).  Materialised once in the checkpoint folder: items are scanned and joined once.
     daily = materialize(daily_seller_revenue(m), "seller-daily")
     ranked = seller_pareto(seller_lifetime_totals(daily), m.sellers)
     growth = seller_growth(seller_periods(trailing_90d(daily)))
