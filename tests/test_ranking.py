@@ -42,3 +42,21 @@ def test_percentiles_match_percentile_cont(spark):
     got = percentiles_cont(df, "x", {"p80": 0.8, "p50": 0.5}, tie="id").first()
     ref = df.select(F.percentile("x", 0.8).alias("a"), F.percentile("x", 0.5).alias("b")).first()
     assert abs(got.p80 - ref.a) < 1e-9 and abs(got.p50 - ref.b) < 1e-9
+
+
+def test_positions_independent_of_aqe_and_partition_count(spark):
+    df = spark.createDataFrame(_data(400, 11, 9), "id long, v long, amt long")
+    w = Window.orderBy(F.col("v").desc(), F.col("id"))
+    ref = {r.id: (r.rn, r.rk, r.cum) for r in df.select(
+        "id", F.row_number().over(w).alias("rn"), F.rank().over(Window.orderBy(F.col("v").desc())).alias("rk"),
+        F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum")).collect()}
+    saved = (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        for aqe, parts in [("false", "200"), ("true", "200"), ("false", "3")]:
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r.id: (r[POS], r[RANK], r[RUN]) for r in global_positions(df, "v", "id", amount="amt").collect()}
+            assert got == ref, (aqe, parts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", saved[0])
+        spark.conf.set("spark.sql.shuffle.partitions", saved[1])
