@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents
+from tradewind.llm.common import documents, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +20,18 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import secret_ledger as sl
+
+    found = sl.findings(documents(spark, sf_dir), shared_path(spark, "secret-ledger"))
+    count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
+    base = [r.kind for r in sl.BASE_RULES]
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in base],
+                        F.sha2(sl.joined(kinds=base), 256).alias("base_sha256"), sl.joined().alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
+    "op7_secret_ledger": op7_secret_ledger,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
