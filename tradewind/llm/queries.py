@@ -30,7 +30,16 @@ def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(sl.joined(kinds=base), 256).alias("base_sha256"), sl.joined().alias("spans"))
 
 
+def op8_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import sharding
+
+    placed = sharding.shard_documents(documents(spark, sf_dir), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Query] = {
+    "op8_lpt_sharding": op8_lpt_sharding,
     "op7_secret_ledger": op7_secret_ledger,
     "op9_byte_bpe": op9_byte_bpe,
 }
