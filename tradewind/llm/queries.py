@@ -38,7 +38,15 @@ def op8_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import packing
+
+    return packing.pack_documents(documents(spark, sf_dir), capacity=2048).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
+    "op10_best_fit_packing": op10_best_fit_packing,
     "op8_lpt_sharding": op8_lpt_sharding,
     "op7_secret_ledger": op7_secret_ledger,
     "op9_byte_bpe": op9_byte_bpe,
