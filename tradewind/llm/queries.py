@@ -45,7 +45,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import simhash
+
+    found = simhash.near_duplicates(simhash.fingerprints(documents(spark, sf_dir), width=3), radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op6_simhash": op6_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op8_lpt_sharding": op8_lpt_sharding,
     "op7_secret_ledger": op7_secret_ledger,
