@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents, shared_path
+from tradewind.llm.common import documents, remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +52,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import langid
+
+    docs = documents(spark, sf_dir)
+    rest = remainder("doc_id", 4)
+    found = langid.predict(docs, langid.learn(docs.where(rest != 2)))
+    return found.select("doc_id", F.coalesce(rest == 2, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
+    "op5_cross_parsing_langid": op5_cross_parsing_langid,
     "op6_simhash": op6_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op8_lpt_sharding": op8_lpt_sharding,
