@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.session import materialize
 
-__all__ = ["documents", "materialize", "remainder", "batches_of", "shared_path", "shuffle_partitions"]
+__all__ = ["documents", "materialize", "remainder", "batches_of", "keep_rows", "shared_path", "shuffle_partitions"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,22 @@ def _batch(rows: list[Sequence], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(col, type=f.type) for col, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def keep_rows(df: DataFrame, text: str, keep: Callable[[], Callable[[list], Sequence[bool]]]) -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose text ``keep()`` wants; narrow.
+
+    ``keep`` is called once per task and returns a function from texts to booleans.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = keep()
+        for b in batches:
+            at = b.schema.get_field_index(text)
+            for i in range(0, b.num_rows, 2048):
+                part = b.slice(i, 2048)
+                yield part.filter(pa.array(list(wanted(part.column(at).to_pylist())), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

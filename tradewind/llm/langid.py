@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import batches_of
+from tradewind.llm.common import batches_of, keep_rows
 
 #: Characters of labelled text per language, and of the window taken from one document.
 SAMPLE_CHARS, WINDOW = 50_000, 4_096
@@ -219,3 +219,13 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                 yield from batches_of(((k, *f) for k, f in zip(part.column("k").to_pylist(), found)), schema)
 
     return source.mapInArrow(run, f"k {key_type}, lang_pred string, score double").withColumnRenamed("k", key)
+
+
+def keep(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose language is known (and among ``languages``, if given)."""
+    def judge():
+        own = parser(model)
+        return lambda texts: [name != UNKNOWN and (languages is None or name in languages)
+                              for name, _ in _scored(texts, own)]
+
+    return keep_rows(docs, text, judge)

@@ -61,7 +61,23 @@ def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(rest == 2, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
+#: Documents with a lower score are predicted to be of low quality.
+QUALITY_THRESHOLD = 0.3
+
+
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import quality
+
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    fold = remainder("doc_id", 5)
+    model = quality.learn(docs.where(fold != 0), labels.where(fold != 0))
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pu_quality": op1_pu_quality,
     "op5_cross_parsing_langid": op5_cross_parsing_langid,
     "op6_simhash": op6_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,

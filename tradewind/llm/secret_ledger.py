@@ -134,17 +134,20 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str, content: str,
         .write.mode("append").parquet(ledger)
 
 
+def by_blob(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """``blob, found`` for the blobs of the ledger in which the given rules found something."""
+    current = [r.key for r in rules]
+    return spark.read.parquet(ledger).where(F.size("findings") > 0) \
+        .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("found")) \
+        .withColumn("found", F.filter("found", lambda x: x["rule"].isin(current))).where(F.size("found") > 0)
+
+
 def findings(versions: DataFrame, ledger: str, key: str = "doc_id", content: str = "text",
              rules: Sequence[Rule] = RULES) -> DataFrame:
     """``key`` and ``findings`` for every row: the spans of its content, by start, then rule."""
-    spark = versions.sparkSession
     scan_unseen(versions, ledger, key, content, rules)
-    current = [r.key for r in rules]
-    by_blob = spark.read.parquet(ledger).where(F.size("findings") > 0) \
-        .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("found")) \
-        .withColumn("found", F.filter("found", lambda x: x["rule"].isin(current)))
     paths = versions.select(F.col(key).alias(key), blob_of(content).alias("blob"))
-    return paths.join(by_blob, "blob", "left") \
+    return paths.join(by_blob(versions.sparkSession, ledger, rules), "blob", "left") \
         .select(key, F.hex("blob").alias("blob"), F.coalesce("found", _nothing()).alias("findings"))
 
 
@@ -167,3 +170,13 @@ def redacted(text: str, found: str = "findings", mark: str = "[SECRET]") -> Colu
 
     rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["pos"] + 1, F.length(F.col(text))))
     return F.when(F.size(found) > 0, F.aggregate(found, begin, step, rest)).otherwise(F.col(text))
+
+
+def redact(docs: DataFrame, ledger: str, key: str = "doc_id", content: str = "text", rules: Sequence[Rule] = RULES,
+           mark: str = "[SECRET]") -> DataFrame:
+    """``docs``, all columns, with the secrets in ``content`` replaced by ``mark``."""
+    scan_unseen(docs, ledger, key, content, rules)
+    found = by_blob(docs.sparkSession, ledger, rules).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
+    held = docs.withColumn("_blob", blob_of(content)).join(found, "_blob", "left")
+    clean = F.when(F.col("_found").isNull(), F.col(content)).otherwise(redacted(content, "_found", mark))
+    return held.withColumn(content, clean).select(*docs.columns)

@@ -271,3 +271,13 @@ def near_duplicates(prints: DataFrame, key: str = "doc_id", radius: int = 3) ->
     found = components(link_forest(nodes.where("node IS NOT NULL"), radius))
     of_bits = nodes.join(found, "node", "left").select("bits", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of_bits, "bits")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose key is the smallest of its component.
+
+    Repeated rows of such a key stay together.
+    """
+    found = near_duplicates(fingerprints(docs, key, text, width), key, radius)
+    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
+    return docs.join(kept, docs[key].eqNullSafe(kept["_kept"]), "left_semi")
