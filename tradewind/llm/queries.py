@@ -76,7 +76,15 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import permutation_index
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return permutation_index.search(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_permutation_index": op2_permutation_index,
     "op1_pu_quality": op1_pu_quality,
     "op5_cross_parsing_langid": op5_cross_parsing_langid,
     "op6_simhash": op6_simhash,
