@@ -83,7 +83,14 @@ def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import nn_descent
+
+    return nn_descent.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
+
+
 QUERIES: dict[str, Query] = {
+    "op3_nn_descent": op3_nn_descent,
     "op2_permutation_index": op2_permutation_index,
     "op1_pu_quality": op1_pu_quality,
     "op5_cross_parsing_langid": op5_cross_parsing_langid,
