@@ -89,7 +89,18 @@ def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import kneser_ney
+
+    docs, rest = documents(spark, sf_dir), remainder("doc_id", 7)
+    model = kneser_ney.train(docs.where(rest != 2))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", F.coalesce(rest == 2, F.lit(True)).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
+    "op4_kneser_ney": op4_kneser_ney,
     "op3_nn_descent": op3_nn_descent,
     "op2_permutation_index": op2_permutation_index,
     "op1_pu_quality": op1_pu_quality,
