@@ -28,8 +28,3 @@ def round_half_up(col: Column | str, places: int) -> Column:
 def safe_int(col: Column | str) -> Column:
     """Text to integer the lenient way: '12.7' -> 13, '1e2' -> 100, junk -> NULL."""
     return F.round(_c(col).try_cast("double")).try_cast("int")
-
-
-def safe_div(num: Column, den: Column) -> Column:
-    """Division that yields NULL instead of failing (ANSI) on a zero denominator."""
-    return F.try_divide(num, den)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import category_label, round_half_up
-from tradewind.operators.common import conform, item_revenue, scalar, with_category
-from tradewind.operators.seller import sold_items
+from tradewind.operators.common import conform, scalar
+from tradewind.operators.seller import seller_category_day
 from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
@@ -41,17 +41,20 @@ CATEGORY_ANALYSIS_SCHEMA = [
     ("share_trend", "VARCHAR"), ("revenue_vs_avg", "VARCHAR")]
 
 
-def daily_category_revenue(m: Marketplace) -> DataFrame:
-    """(category, seller state, day) revenue, items, distinct sellers, mean price."""
+def daily_category_revenue(m: Marketplace, grain: DataFrame | None = None) -> DataFrame:
+    """(category, seller state, day) revenue, items, distinct sellers, mean price.
+
+    Built on the (seller, category, day) grain, which has one row per active seller:
+    counting them needs no distinct, and a hot seller's items are combined before the
+    seller join."""
     sellers = m.sellers.select("seller_id", F.upper(F.trim("seller_state")).alias("seller_state"))
-    x = (with_category(sold_items(m), m.products, m.category_translation)
-         .join(sellers, "seller_id")
+    x = ((grain if grain is not None else seller_category_day(m)).join(sellers, "seller_id")
          .withColumnRenamed("category", "category_name_en"))
     return x.groupBy("category_name_en", "seller_state", "order_date").agg(
-        F.sum(item_revenue()).alias("gross_revenue"),
-        F.count(F.lit(1)).alias("items_sold"),
-        F.countDistinct("seller_id").alias("active_sellers"),
-        round_half_up(F.sum("price").cast("double") / F.count(F.lit(1)), 2).alias("avg_item_price"))
+        F.sum("rev").alias("gross_revenue"),
+        F.sum("n").alias("items_sold"),
+        F.count(F.lit(1)).alias("active_sellers"),
+        round_half_up(F.sum("price").cast("double") / F.sum("n"), 2).alias("avg_item_price"))
 
 
 def monthly_category(daily: DataFrame) -> DataFrame:
@@ -109,20 +112,20 @@ def trend_labels(df: DataFrame) -> DataFrame:
     return df.withColumn("share_trend", trend).withColumn("revenue_vs_avg", vs)
 
 
-def daily_category_materialized(m: Marketplace) -> DataFrame:
+def daily_category_materialized(m: Marketplace, grain: DataFrame | None = None) -> DataFrame:
     """J15 materialised: the day grain is read twice (monthly roll-up and the
     last-day subquery), and the subquery's filter is pushed into the main scan,
     so the two plans cannot share an exchange.  Materialise it once instead of
     joining all items twice."""
-    return materialize(daily_category_revenue(m), "category-daily")
+    return materialize(daily_category_revenue(m, grain), "category-daily")
 
 
-def category_deltas_of(m: Marketplace) -> DataFrame:
-    return category_share_delta(category_share(monthly_category(daily_category_materialized(m))))
+def category_deltas_of(m: Marketplace, grain: DataFrame | None = None) -> DataFrame:
+    return category_share_delta(category_share(monthly_category(daily_category_materialized(m, grain))))
 
 
-def category_analysis(m: Marketplace, sort: bool = True) -> DataFrame:
+def category_analysis(m: Marketplace, sort: bool = True, grain: DataFrame | None = None) -> DataFrame:
     """The category mart."""
-    out = trend_labels(category_deltas_of(m)).withColumn("category_name_en", category_label("category_name_en"))
+    out = trend_labels(category_deltas_of(m, grain)).withColumn("category_name_en", category_label("category_name_en"))
     out = conform(out, CATEGORY_ANALYSIS_SCHEMA)
     return out.orderBy("month", "seller_state", "rank_in_month") if sort else out

@@ -16,6 +16,7 @@ from tradewind.operators import category as cat
 from tradewind.operators import churn, customer, seller, star
 from tradewind.operators.common import conform, scalar
 from tradewind.operators.ranking import COUNT, POS, global_positions, ntile, percentiles_cont
+from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
 MONEY = "decimal(18,2)"
@@ -50,8 +51,9 @@ def kpi_yoy(fact: DataFrame) -> DataFrame:
     """M1: GMV (sum of gross revenue), sales (distinct orders) and AOV per calendar
     year, each with its change against the previous year in %.  The by-year
     table has one row per calendar year, so its year-ordered window is tiny."""
-    y = fact.groupBy(F.year("order_date").alias("year")).agg(
-        F.sum(_exact("gross_revenue")).alias("g"), F.countDistinct("order_id").alias("sales"))
+    # Per order first: a hot order is combined map-side, and orders need no distinct count.
+    order = fact.groupBy("order_id", F.year("order_date").alias("year")).agg(F.sum(_exact("gross_revenue")).alias("g"))
+    y = order.groupBy("year").agg(F.sum("g").alias("g"), F.count("order_id").alias("sales"))
     w = Window.orderBy("year")
     gmv = F.col("g").cast("double")
     aov = gmv / F.col("sales")
@@ -59,9 +61,9 @@ def kpi_yoy(fact: DataFrame) -> DataFrame:
     prev_aov = F.lag(aov).over(w)
     out = y.select(
         "year", gmv.alias("gmv"), "sales", round_half_up(aov, 2).alias("aov"),
-        round_half_up((gmv - prev_g) / prev_g * 100.0, 2).alias("gmv_yoy_pct"),
-        round_half_up((F.col("sales") - prev_s).cast("double") / prev_s * 100.0, 2).alias("sales_yoy_pct"),
-        round_half_up((aov - prev_aov) / prev_aov * 100.0, 2).alias("aov_yoy_pct"))
+        round_half_up(F.try_divide(gmv - prev_g, prev_g) * 100.0, 2).alias("gmv_yoy_pct"),
+        round_half_up(F.try_divide((F.col("sales") - prev_s).cast("double"), prev_s.cast("double")) * 100.0, 2).alias("sales_yoy_pct"),
+        round_half_up(F.try_divide(aov - prev_aov, prev_aov) * 100.0, 2).alias("aov_yoy_pct"))
     return conform(out, KPI_YOY_SCHEMA)
 
 
@@ -129,7 +131,9 @@ SELLER_KPIS_SCHEMA = [("active_sellers_90d", "BIGINT"), ("growing_sellers", "BIG
 
 
 def seller_kpis(profile: DataFrame) -> DataFrame:
-    """M6: sellers with activity in the trailing 90 days; sellers with positive MoM growth."""
+    """M6: sellers with activity in the trailing 90 days; sellers with positive MoM growth.
+
+    ``profile`` may be the seller mart or just its growth part (J6): nothing here needs the ranking."""
     out = profile.agg(F.count_if(F.col("revenue_90d").isNotNull()).alias("active_sellers_90d"),
                       F.count_if(F.col("mom_growth_pct") > 0).alias("growing_sellers"))
     return conform(out, SELLER_KPIS_SCHEMA)
@@ -141,14 +145,12 @@ TOP20_SCHEMA = [("top20_sellers", "BIGINT"), ("top20_revenue", "DOUBLE"), ("tota
 
 def top20_share(totals: DataFrame) -> DataFrame:
     """M7: revenue share of the first quintile (NTILE(5) = 1) of sellers by lifetime revenue."""
-    cents = (F.col("total_revenue") * 100).cast("bigint")
-    pos = global_positions(totals.select("seller_id", cents.alias("_c")), "_c", "seller_id", amount="_c")
+    pos = global_positions(totals.select("seller_id", F.col("total_revenue").alias("_c")), "_c", "seller_id", rank=False)
     top = ntile(F.col(POS), F.col(COUNT), 5) == 1
     out = pos.agg(F.count_if(top).alias("top20_sellers"),
-                  F.sum(F.when(top, F.col("_c")).otherwise(0)).alias("tc"), F.sum("_c").alias("ac"))
-    out = out.select("top20_sellers", (F.col("tc") / 100.0).alias("top20_revenue"),
-                     (F.col("ac") / 100.0).alias("total_revenue"),
-                     _pct(F.col("tc") / 100.0, F.col("ac") / 100.0).alias("top20_share_pct"))
+                  F.sum(F.when(top, F.col("_c"))).alias("tc"), F.sum("_c").alias("ac"))
+    out = out.select("top20_sellers", F.col("tc").alias("top20_revenue"), F.col("ac").alias("total_revenue"),
+                     _pct(F.col("tc"), F.col("ac")).alias("top20_share_pct"))
     return conform(out, TOP20_SCHEMA)
 
 
@@ -393,6 +395,11 @@ def _profile(m: Marketplace) -> DataFrame:
     return seller.seller_profile(m, sort=False)
 
 
+def _growth(m: Marketplace) -> DataFrame:
+    daily = materialize(seller.daily_seller_revenue(m), "seller-daily")
+    return seller.seller_growth(seller.seller_periods(seller.trailing_90d(daily)))
+
+
 def _cd(m: Marketplace) -> DataFrame:
     return customer.customer_and_delivery(m, sort=False)
 
@@ -407,7 +414,7 @@ MEASURES = {
     "peak_day": lambda m: peak_day(_daily(m)),
     "revenue_by_weekday": lambda m: revenue_by_weekday(_daily(m)),
     "state_month_matrix": lambda m: state_month_matrix(star.fact_orders(m), m.customers),
-    "seller_kpis": lambda m: seller_kpis(_profile(m)),
+    "seller_kpis": lambda m: seller_kpis(_growth(m)),
     "top20_share": lambda m: top20_share(seller.seller_lifetime_totals(seller.daily_seller_revenue(m))),
     "seller_quadrants": lambda m: seller_quadrants(_profile(m)),
     "revenue_by_state": lambda m: revenue_by_state(star.fact_orders(m), m.sellers),

@@ -2,121 +2,78 @@
 
 ``RANK() / NTILE() / SUM() OVER (ORDER BY x)`` with no PARTITION BY makes Spark
 move every row into one task.  ``global_positions`` computes the same numbers
-with work spread over all partitions:
+with work spread over all partitions, on built-in expressions alone:
 
 1. range-partition on (key, tie) and sort inside each partition (one shuffle;
    Spark samples the composite key, so a hot key value is still split);
-2. one ordered, Arrow-batched pass per partition gives the local row number,
-   the local rank (first row of the run of equal keys) and a local running sum;
-3. that result (partition id included as a column) is materialised once in the
-   shared checkpoint folder, so the Python pass never runs twice;
-4. a per-partition summary (one row per partition — bounded by the partition
-   count, so it is broadcast) gives each partition its offsets.  A run of equal
-   keys that spans partitions is repaired with the summary's tail lengths.
+2. ``monotonically_increasing_id`` already holds partition and row number of that
+   order; both are fixed by one materialisation in the shared checkpoint folder;
+3. a per-partition summary (one row per partition — bounded by the partition
+   count, so it is broadcast) gives each partition its offsets;
+4. RANK is the smallest position of a key: an aggregate that combines map-side and
+   a join whose hot key can be split;
+5. a running sum, where asked for, is a window inside each range partition plus
+   the partition's offset.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradewind.session import materialize
 
 POS, RANK, RUN, COUNT, TOTAL = "_pos", "_rank", "_run", "_n", "_total"
-
-
-def _scan_fn(key: str, amount: str | None):
-    def scan(batches):
-        seen, cum, last, run_start = 0, 0, None, 0
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            k = pdf[key].to_numpy()
-            idx = np.arange(seen + 1, seen + m + 1, dtype=np.int64)
-            new_run = np.empty(m, dtype=bool)
-            new_run[0] = last is None or k[0] != last
-            new_run[1:] = k[1:] != k[:-1]
-            starts = np.where(new_run, idx, 0)
-            if not new_run[0]:
-                starts[0] = run_start
-            starts = np.maximum.accumulate(starts)
-            pdf["_lrow"] = idx
-            pdf["_lrank"] = starts
-            if amount is not None:
-                run = np.cumsum(pdf[amount].to_numpy(dtype=np.int64)) + cum
-                pdf["_lrun"] = run
-                cum = int(run[-1])
-            else:
-                pdf["_lrun"] = np.zeros(m, dtype=np.int64)
-            seen += m
-            last = k[-1]
-            run_start = int(starts[-1])
-            yield pdf
-    return scan
+_ROW_BITS = 33                             # monotonically_increasing_id: partition above, row below
 
 
 def global_positions(df: DataFrame, key: str, tie: str, *, amount: str | None = None,
                      descending: bool = True, num_partitions: int | None = None,
-                     keep_tie: bool = True) -> DataFrame:
-    """Add ``_pos`` (1-based ROW_NUMBER over (key, tie)), ``_rank`` (RANK over key),
-    ``_run`` (running sum of the integer column ``amount``), ``_n`` (row count) and
-    ``_total`` (sum of ``amount``).
-
-    ``key`` must be a non-NULL numeric column (long or double), ``tie`` must make
-    the order total (a struct orders field by field), ``amount`` must be integral
-    (money in cents) so running sums are exact.  ``keep_tie=False`` drops the tie
-    column before the Arrow pass.
+                     keep_tie: bool = True, rank: bool = True) -> DataFrame:
+    """Add ``_pos`` (1-based ROW_NUMBER over (key, tie)), ``_rank`` (RANK over key, if
+    ``rank``), ``_n`` (row count) and, given an ``amount`` column of an exact type,
+    ``_run`` (its running sum) and ``_total``.
+
+    NULL keys come last, as one tie.  NULL amounts are skipped by both sums, which
+    are 0 before the first known amount.  ``tie`` must make the order total (a struct
+    orders field by field).  ``keep_tie=False`` drops the tie column after sorting.
     """
-    k = F.col(key).desc() if descending else F.col(key).asc()
+    k = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
     # Without an explicit count the range exchange has spark.sql.shuffle.partitions
     # partitions and AQE may merge neighbours (still in order) when they are small.
     ranged = (df.repartitionByRange(num_partitions, k, F.col(tie).asc()) if num_partitions
               else df.repartitionByRange(k, F.col(tie).asc()))
-    ordered = (ranged
-                 .sortWithinPartitions(k, F.col(tie).asc())
-                 .withColumn("_part", F.spark_partition_id()))
+    place = F.monotonically_increasing_id()
+    ordered = (ranged.sortWithinPartitions(k, F.col(tie).asc())
+                     .withColumn("_part", F.shiftright(place, _ROW_BITS))
+                     .withColumn("_row", place.bitwiseAND((1 << _ROW_BITS) - 1)))
     if not keep_tie:                       # order inside each partition is already fixed
         ordered = ordered.drop(tie)
-    out_schema = T.StructType(ordered.schema.fields + [
-        T.StructField("_lrow", T.LongType()), T.StructField("_lrank", T.LongType()),
-        T.StructField("_lrun", T.LongType())])
-    # The ordered scan and the partition ids are fixed by one materialisation:
-    # the summary and the final join below both read it, nothing is recomputed.
-    local = materialize(ordered.mapInPandas(_scan_fn(key, amount), out_schema), "positions")
+    local = materialize(ordered, "positions")
 
-    first, last = (F.max, F.min) if descending else (F.min, F.max)
-    summary = (local.groupBy("_part")
-                    .agg(F.count(F.lit(1)).alias("_cnt"), F.max_by("_lrun", "_lrow").alias("_psum"),
-                         first(key).alias("_first"), last(key).alias("_last"),
-                         (F.count(F.lit(1)) - F.max("_lrank") + 1).alias("_tail")))
+    sums = [F.coalesce(F.sum(amount), F.lit(0)).alias("_psum")] if amount else []
+    summary = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"), *sums)
     # The summary has one row per partition: windows without PARTITION BY are fine here.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    summary = summary.select(
-        "_part", "_first", "_last", "_tail",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
-        F.coalesce(F.sum("_psum").over(before), F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(everything).alias(COUNT),
-        F.sum("_psum").over(everything).alias(TOTAL))
-    earlier = summary.select(F.col("_part").alias("_q"), F.col("_last").alias("_qlast"),
-                             F.col("_tail").alias("_qtail"))
-    # Rows of the head run of partition p that already appeared at the tail of earlier partitions.
-    carry = (summary.join(earlier, (earlier._qlast == summary._first) & (earlier._q < summary._part))
-                    .groupBy("_part").agg(F.sum("_qtail").alias("_carry")))
-    summary = summary.join(carry, "_part", "left").fillna(0, subset=["_carry"])
-
-    joined = local.join(F.broadcast(summary), "_part")
-    head = F.col(key) == F.col("_first")
-    result = joined.select(
-        *[F.col(c) for c in df.columns if keep_tie or c != tie],
-        (F.col("_offset") + F.col("_lrow")).alias(POS),
-        (F.col("_offset") + F.col("_lrank") - F.when(head, F.col("_carry")).otherwise(0)).alias(RANK),
-        (F.col("_before") + F.col("_lrun")).alias(RUN),
-        F.col(COUNT), F.col(TOTAL))
-    return result
+    offsets = [F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
+               F.sum("_cnt").over(everything).alias(COUNT)]
+    if amount:
+        offsets += [F.coalesce(F.sum("_psum").over(before), F.lit(0)).alias("_before"),
+                    F.sum("_psum").over(everything).alias(TOTAL)]
+        run = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+        local = local.withColumn("_lrun", F.coalesce(F.sum(amount).over(run), F.lit(0)))
+    placed = (local.join(F.broadcast(summary.select("_part", *offsets)), "_part")
+                   .withColumn(POS, F.col("_offset") + F.col("_row") + 1))
+    added = [POS, COUNT]
+    if amount:
+        placed = placed.withColumn(RUN, F.col("_before") + F.col("_lrun"))
+        added += [RUN, TOTAL]
+    if rank:
+        first = placed.groupBy(F.col(key).alias("_key")).agg(F.min(POS).alias(RANK))
+        placed = placed.join(first, placed[key].eqNullSafe(first["_key"]))
+        added.append(RANK)
+    return placed.select(*[F.col(c) for c in df.columns if keep_tie or c != tie], *added)
 
 
 def ntile(pos: Column, n: Column, buckets: int) -> Column:
@@ -139,7 +96,7 @@ def percentiles_cont(df: DataFrame, value: str, fractions: dict[str, float], tie
     tie = tie or value
     pos = global_positions(df.select(F.col(value).cast("double").alias("_v"), F.col(tie).alias("_t"))
                              .filter(F.col("_v").isNotNull()),
-                           "_v", "_t", descending=False)
+                           "_v", "_t", descending=False, keep_tie=False, rank=False)
     n = F.col(COUNT)
     cols = []
     for name, p in fractions.items():

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import category_label, round_half_up
 from tradewind.operators.common import conform, item_revenue, mode_of, scalar, valid_orders, with_category
 from tradewind.operators.ranking import COUNT, POS, RANK, RUN, TOTAL, global_positions, ntile
+from tradewind.operators.staging import MONEY
 from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
@@ -32,6 +33,16 @@ def sold_items(m: Marketplace) -> DataFrame:
     return m.order_items.join(orders, "order_id")
 
 
+def seller_category_day(m: Marketplace) -> DataFrame:
+    """(seller, category, day) -> revenue, price sum and item count: the grain that the
+    seller and category marts share.  A hot seller is combined map-side here,
+    before it meets any other join."""
+    items = (with_category(sold_items(m), m.products, m.category_translation)
+             .select("seller_id", "order_date", "category", "price", item_revenue().alias("rev")))
+    return items.groupBy("seller_id", "order_date", "category").agg(
+        F.sum("rev").alias("rev"), F.sum("price").alias("price"), F.count(F.lit(1)).alias("n"))
+
+
 def daily_seller_revenue(m: Marketplace) -> DataFrame:
     """(seller, day) -> revenue, item count and the day's most frequent category.
 
@@ -39,11 +50,11 @@ def daily_seller_revenue(m: Marketplace) -> DataFrame:
     partial aggregate that collapses hot sellers before the shuffle — then
     (seller, day) picking the top category from the per-category counts.
     """
-    items = (with_category(sold_items(m), m.products, m.category_translation)
-             .select("seller_id", "order_date", "category", item_revenue().alias("rev")))
-    per_cat = items.groupBy("seller_id", "order_date", "category").agg(
-        F.sum("rev").alias("rev"), F.count(F.lit(1)).alias("n"))
-    return per_cat.groupBy("seller_id", "order_date").agg(
+    return daily_of(seller_category_day(m))
+
+
+def daily_of(grain: DataFrame) -> DataFrame:
+    return grain.groupBy("seller_id", "order_date").agg(
         F.sum("rev").alias("gross_revenue"),
         F.sum("n").alias("items_sold"),
         mode_of("category", "n").alias("primary_category"))
@@ -62,10 +73,12 @@ def seller_lifetime_totals(daily: DataFrame) -> DataFrame:
 
 def seller_pareto(totals: DataFrame, sellers: DataFrame) -> DataFrame:
     """Lifetime rank, quartile and cumulative revenue share, computed with the
-    distributed global ordering (no single-partition window)."""
-    cents = (F.col("total_revenue") * 100).cast("bigint")
-    ranked = global_positions(totals.withColumn("_cents", cents), "_cents", "seller_id", amount="_cents")
-    pct = round_half_up(F.col(RUN).cast("double") / 100.0 / (F.col(TOTAL).cast("double") / 100.0) * 100.0, 1)
+    distributed global ordering (no single-partition window).
+
+    Sellers without a known revenue rank last as one tie and add nothing to the
+    running sum; the share is NULL when the total is 0."""
+    ranked = global_positions(totals, "total_revenue", "seller_id", amount="total_revenue")
+    pct = round_half_up(F.try_divide(F.col(RUN).cast("double"), F.col(TOTAL).cast("double")) * 100.0, 1)
     out = ranked.select(
         *totals.columns,
         F.col(RANK).alias("lifetime_rank"),
@@ -88,7 +101,7 @@ def seller_periods(trailing: DataFrame) -> DataFrame:
     comes out of the same pass as the sums.
     """
     d, last = F.col("order_date"), F.col("max_date")
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast(MONEY)
     l30 = F.when(d >= F.date_sub(last, 30), F.col("gross_revenue")).otherwise(zero)
     p30 = F.when((d >= F.date_sub(last, 60)) & (d < F.date_sub(last, 30)), F.col("gross_revenue")).otherwise(zero)
     per_cat = trailing.groupBy("seller_id", "primary_category").agg(
@@ -110,11 +123,13 @@ def seller_growth(periods: DataFrame) -> DataFrame:
     return periods.withColumn("mom_growth_pct", growth)
 
 
-def seller_profile(m: Marketplace, sort: bool = True) -> DataFrame:
-    """Lifetime Pareto columns plus trailing-90-day activity (NULL when idle)."""
+def seller_profile(m: Marketplace, sort: bool = True, grain: DataFrame | None = None) -> DataFrame:
+    """Lifetime Pareto columns plus trailing-90-day activity (NULL when idle).
+
+    ``grain`` is ``seller_category_day(m)`` if it is at hand."""
     # The seller-day grain feeds three reads (lifetime ranking, last-day subquery,
     # trailing window).  Materialised once in the checkpoint folder: items are scanned and joined once.
-    daily = materialize(daily_seller_revenue(m), "seller-daily")
+    daily = materialize(daily_of(grain) if grain is not None else daily_seller_revenue(m), "seller-daily")
     ranked = seller_pareto(seller_lifetime_totals(daily), m.sellers)
     growth = seller_growth(seller_periods(trailing_90d(daily)))
     out = (ranked.join(growth, "seller_id", "left")

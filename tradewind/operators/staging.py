@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions import safe_int, title_case
-from tradewind.sources.tables import Marketplace, RawMarketplace
+from tradewind.sources.tables import LazyTables, Marketplace, RawMarketplace
 
-MONEY = "decimal(18,2)"
+# Money keeps every digit of the input: 22 before and 6 after the point.
+MONEY = "decimal(28,6)"
 ORDER_TIMES = ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
                "order_delivered_customer_date", "order_estimated_delivery_date")
 PRODUCT_SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
                  "product_photos_qty")
 
 
+def exact_money(raw: DataFrame, col: str) -> Column:
+    """Money without any rounding: text that is no number becomes NULL; a number with more
+    digits than the type holds stops the job instead of being cut."""
+    kind = raw.schema[col].dataType
+    value = F.col(col).try_cast(MONEY)
+    if isinstance(kind, T.DecimalType) and kind.scale <= 6 and kind.precision - kind.scale <= 22:
+        return value.alias(col)
+    number = F.col(col).try_cast("double")
+    whole = F.col(col).try_cast("decimal(38,16)")
+    lost = number.isNotNull() & (value.isNull() | (whole.isNotNull() & (whole != value)))
+    said = F.concat(F.lit(f"{col} needs more digits than {MONEY} holds: "), F.col(col).cast("string"))
+    return F.when(lost, F.raise_error(said).cast(MONEY)).otherwise(value).alias(col)
+
+
 def clean_sellers(raw: DataFrame) -> DataFrame:
     """B1: zip padded to 5 characters, city title-cased, state upper-cased."""
     return raw.select(
@@ -47,8 +63,7 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 def clean_order_items(raw: DataFrame, orders: DataFrame) -> DataFrame:
     """Money cast, and only items whose order was staged (semi join)."""
     typed = raw.select("order_id", "order_item_id", "product_id", "seller_id",
-                       F.col("price").try_cast(MONEY).alias("price"),
-                       F.col("freight_value").try_cast(MONEY).alias("freight_value"))
+                       exact_money(raw, "price"), exact_money(raw, "freight_value"))
     return typed.join(orders.select("order_id"), "order_id", "left_semi")
 
 
@@ -56,7 +71,7 @@ def clean_order_payments(raw: DataFrame) -> DataFrame:
     """Installments and value cast; ``payment_sequential`` stays text."""
     return raw.select("order_id", F.col("payment_sequential").cast("string").alias("payment_sequential"),
                       "payment_type", safe_int("payment_installments").alias("payment_installments"),
-                      F.col("payment_value").try_cast(MONEY).alias("payment_value"))
+                      exact_money(raw, "payment_value"))
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
@@ -87,17 +102,21 @@ def dedup_geolocation(geo: DataFrame) -> DataFrame:
                .select("zip_code", F.col("p.lat").alias("lat"), F.col("p.lng").alias("lng")))
 
 
-def stage_all(raw: RawMarketplace) -> Marketplace:
-    orders = clean_orders(raw.orders)
-    return Marketplace(
-        sellers=clean_sellers(raw.sellers),
-        products=clean_products(raw.products),
-        category_translation=clean_category_translation(raw.category_translation),
-        orders=orders,
-        order_items=clean_order_items(raw.order_items, orders),
-        order_payments=clean_order_payments(raw.order_payments),
-        customers=clean_customers(raw.customers),
-        geolocation=clean_geolocation(raw.geolocation))
+STAGE = {
+    "sellers": lambda raw: clean_sellers(raw.sellers),
+    "products": lambda raw: clean_products(raw.products),
+    "category_translation": lambda raw: clean_category_translation(raw.category_translation),
+    "orders": lambda raw: clean_orders(raw.orders),
+    "order_items": lambda raw: clean_order_items(raw.order_items, clean_orders(raw.orders)),
+    "order_payments": lambda raw: clean_order_payments(raw.order_payments),
+    "customers": lambda raw: clean_customers(raw.customers),
+    "geolocation": lambda raw: clean_geolocation(raw.geolocation),
+}
+
+
+def stage_all(raw: RawMarketplace) -> LazyTables:
+    """The staged tables, each planned when it is first read."""
+    return LazyTables({name: (lambda stage=stage: stage(raw)) for name, stage in STAGE.items()})
 
 
 STAGED_SCHEMAS = {

@@ -9,6 +9,7 @@ from tradewind.functions import category_label, day_name, month_name, round_half
 from tradewind.operators.common import UNCATEGORIZED, conform, item_revenue, valid_orders
 from tradewind.operators.customer import on_time_flag
 from tradewind.operators.staging import PRODUCT_SIZES, dedup_geolocation
+from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
 PAYMENTS_DEDUPED_SCHEMA = [("order_id", "KEY"), ("payment_type", "VARCHAR"), ("payment_installments", "BIGINT"),
@@ -36,21 +37,26 @@ DEDUP_GEO_SCHEMA = [("zip_code", "VARCHAR"), ("lat", "DOUBLE"), ("lng", "DOUBLE"
 
 def payments_deduped(payments: DataFrame) -> DataFrame:
     """K1: per order, the first payment by ``payment_sequential`` (compared as text,
-    so '10' < '2') and the total of all its payments — one aggregate, one shuffle."""
-    first = F.min_by(F.struct("payment_type", "payment_installments"), F.col("payment_sequential"))
-    x = payments.groupBy("order_id").agg(first.alias("p"), F.sum("payment_value").alias("total_payment_value"))
+    so '10' < '2') and the total of all its payments — one aggregate, one shuffle.
+
+    A NULL sequence comes last; equal sequences go by type, then instalments, NULLs last."""
+    order = [F.col("payment_sequential").isNull().alias("no_sequence"), F.col("payment_sequential").alias("sequence"),
+             F.col("payment_type").isNull().alias("no_type"), F.col("payment_type"),
+             F.col("payment_installments").isNull().alias("no_installments"), F.col("payment_installments")]
+    x = payments.groupBy("order_id").agg(F.min(F.struct(*order)).alias("p"),
+                                         F.sum("payment_value").alias("total_payment_value"))
     return x.select("order_id", "p.payment_type", "p.payment_installments", "total_payment_value")
 
 
 def fact_orders(m: Marketplace) -> DataFrame:
     """K2: one row per sold item with order, payment and delivery attributes.
 
-    Items, valid orders and deduplicated payments all meet on ``order_id``: the
-    three inputs are hash-partitioned on it once and joined without re-shuffling.
+    Valid orders and their payments meet first, both one row per order, and are
+    written once: the item join is then a join of its own, whose hot order adaptive
+    execution splits (a second join on the same key in one stage would forbid it).
     """
-    o = valid_orders(m.orders)
-    x = (m.order_items.join(o, "order_id")
-                      .join(payments_deduped(m.order_payments), "order_id", "left"))
+    o = materialize(valid_orders(m.orders).join(payments_deduped(m.order_payments), "order_id", "left"), "fact-orders")
+    x = m.order_items.join(o, "order_id")
     out = x.select(
         "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
         F.to_date("order_purchase_timestamp").alias("order_date"),
@@ -76,7 +82,8 @@ def dim_seller(m: Marketplace) -> DataFrame:
 def dim_customer(m: Marketplace) -> DataFrame:
     """K4: one row per person — the record with the smallest customer id — with coordinates
     of the first five characters of the zip code."""
-    rec = F.min(F.struct("customer_id", "customer_zip_code_prefix", "customer_city", "customer_state"))
+    rec = F.min(F.struct(F.col("customer_id").isNull().alias("no_id"), "customer_id", "customer_zip_code_prefix",
+                         "customer_city", "customer_state"))     # a record without an id comes last
     people = (m.customers.groupBy("customer_unique_id").agg(rec.alias("c"))
                .select(F.col("c.customer_id").alias("customer_id"), "customer_unique_id",
                        F.col("c.customer_zip_code_prefix").alias("customer_zip_code"),
@@ -114,4 +121,4 @@ def dim_date(m: Marketplace) -> DataFrame:
         sunday_zero_weekday(d).isin(0, 6).alias("is_weekend"),
         F.trunc(d, "week").alias("week_start"), F.trunc(d, "MM").alias("month_start"),
         F.trunc(d, "quarter").alias("quarter_start"), F.date_format(d, "yyyy-MM").alias("year_month_label"))
-    return conform(out, DIM_DATE_SCHEMA)
+    return conform(out, DIM_DATE_SCHEMA).orderBy("date")

@@ -22,24 +22,11 @@ from tradewind.sources.testdata import load_testdata
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_MARKETS: dict[tuple[str, str, bool], Marketplace] = {}
-
-
-def staged_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False) -> Marketplace:
-    """The staged marketplace over ``sf_dir``, built once per Spark application.
-
-    DataFrames are immutable plans, so every query of the session can start from
-    the same staged tables (the test-data line numbering is materialised once).
-    """
-    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"), zero_months)
-    if key not in _MARKETS:
-        _MARKETS[key] = load_testdata(spark, sf_dir, zero_months=zero_months)
-    return _MARKETS[key]
-
-
-def _staged(fn: Callable[[Marketplace], DataFrame], zero_months: bool = False) -> Query:
+def _staged(fn: Callable[[Marketplace], DataFrame], **variant: bool) -> Query:
+    """A query over the staged tables of ``sf_dir``, read anew each time: nothing is kept between
+    queries, so a changed folder is seen and no query depends on another's files."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(staged_testdata(spark, sf_dir, zero_months=zero_months))
+        return fn(load_testdata(spark, sf_dir, **variant))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
@@ -55,6 +42,7 @@ def _paid(m: Marketplace) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     # seller profile
     "seller_profile": _staged(seller.seller_profile),
+    "seller_profile_odd_money": _staged(seller.seller_profile, odd_money=True),
     # churn risk
     "seller_monthly": _staged(lambda m: conform(churn.seller_monthly(m), churn.SELLER_MONTHLY_SCHEMA)),
     "seller_cohort": _staged(lambda m: conform(churn.seller_cohort(churn.seller_monthly(m), m.sellers),

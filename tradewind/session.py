@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,5 +78,28 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tradewind-{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete what ``materialize`` writes inside the block when the block ends, also by a failure.
+
+    Results must have been written elsewhere by then.  Deletion goes through the
+    Hadoop file system API, so it reaches whatever storage the folder is on.
+    """
+    written: list[str] = []
+    _SCOPES.append(written)
+    try:
+        yield written
+    finally:
+        _SCOPES.remove(written)
+        for path in written:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

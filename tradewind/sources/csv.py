@@ -7,6 +7,7 @@ value becomes NULL instead of failing the scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.sources.tables import RawMarketplace
@@ -42,13 +43,26 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Header CSV read with an explicit all-text schema (header names are checked
-    against the schema by position, leading zeros in codes are kept)."""
-    return (spark.read.schema(text_schema(columns)).option("header", True).option("mode", "PERMISSIVE")
-            .option("enforceSchema", True).csv(path))
+def read_csv(spark: SparkSession, path: str, columns: list[str], multiline: bool = False) -> DataFrame:
+    """Header CSV read as text; columns are found by their names in the header, in any
+    order and among others, and leading zeros in codes are kept.
 
+    A quote inside a quoted field is doubled.  ``multiline`` also allows line breaks inside
+    quoted fields; a file is then read by one task, so it is off for large files
+    without such fields.  A missing column, or files whose headers differ, raise.
+    """
+    options = {"header": "true", "quote": '"', "escape": '"', "multiLine": str(multiline).lower()}
+    found = spark.read.options(**options).csv(path).columns          # reads the header line only
+    by_name = {c.strip().lstrip("\ufeff"): c for c in found}
+    missing = [c for c in columns if c not in by_name]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}; its header has {found}")
+    rows = spark.read.options(**options).option("mode", "PERMISSIVE").option("enforceSchema", False) \
+        .schema(text_schema(found)).csv(path)
+    return rows.select(*[F.col(f"`{by_name[c]}`").alias(c) for c in columns])
 
-def read_raw_marketplace(spark: SparkSession, data_dir: str) -> RawMarketplace:
+
+def read_raw_marketplace(spark: SparkSession, data_dir: str, multiline: bool = False) -> RawMarketplace:
     base = data_dir.rstrip("/")
-    return RawMarketplace(**{name: read_csv(spark, f"{base}/{fname}", cols) for name, (fname, cols) in FILES.items()})
+    return RawMarketplace(**{name: read_csv(spark, f"{base}/{fname}", cols, multiline)
+                             for name, (fname, cols) in FILES.items()})

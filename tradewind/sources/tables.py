@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
@@ -45,3 +46,28 @@ class Marketplace:
 
     def items(self):
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
+
+
+class LazyTables:
+    """Tables by name, each built when it is first asked for.
+
+    Stands in for ``RawMarketplace`` or ``Marketplace`` where building a table runs jobs that
+    queries without that table should not pay for.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        table = self._builders[name]()
+        setattr(self, name, table)
+        return table
+
+    def replace(self, **changes: DataFrame) -> "LazyTables":
+        return LazyTables({name: (lambda name=name: getattr(self, name)) for name in self._builders}
+                          | {name: (lambda df=df: df) for name, df in changes.items()})
+
+    def items(self):
+        return [(name, getattr(self, name)) for name in self._builders]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import staging
 from tradewind.operators.ranking import POS, RANK, global_positions
-from tradewind.sources.tables import Marketplace, RawMarketplace
+from tradewind.sources.tables import LazyTables
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -123,6 +123,16 @@ def zero_month_items(t, items: DataFrame) -> DataFrame:
                          F.when(zero, dz).otherwise(F.col("freight_value")).alias("freight_value")))
 
 
+def odd_money_items(items: DataFrame) -> DataFrame:
+    """Items with digits below a cent, unknown freight on some lines and on all lines of some sellers."""
+    cut = F.lit("0.0001").cast("decimal(28,6)")
+    unknown = (F.col("seller_id") % 7 == 0) | (F.col("order_id") % 11 == 0)
+    return items.select(
+        "order_id", "order_item_id", "product_id", "seller_id",
+        (F.col("price") + F.col("product_id") % 100 * cut).cast("decimal(28,6)").alias("price"),
+        F.when(~unknown, F.col("freight_value") + F.col("order_id") % 50 * cut).cast("decimal(28,6)").alias("freight_value"))
+
+
 def typed_order_payments(t) -> DataFrame:
     li = t["lineitem"]
     return (li.groupBy("l_orderkey", "l_linenumber")
@@ -141,23 +151,25 @@ def raw_geolocation(t) -> DataFrame:
                     _text(-F.col("c_custkey")).alias("geolocation_lng"))
 
 
-def load_raw_testdata(spark: SparkSession, sf_dir: str) -> RawMarketplace:
+RAW = {"sellers": raw_sellers, "products": raw_products, "category_translation": raw_category_translation,
+       "orders": typed_orders, "order_items": typed_order_items, "order_payments": typed_order_payments,
+       "customers": raw_customers, "geolocation": raw_geolocation}
+
+
+def load_raw_testdata(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """Raw inputs over the test parquet; numbering the order lines runs only if items are read."""
     t = read_tables(spark, sf_dir)
-    return RawMarketplace(
-        sellers=raw_sellers(t), products=raw_products(t), category_translation=raw_category_translation(t),
-        orders=typed_orders(t), order_items=typed_order_items(t), order_payments=typed_order_payments(t),
-        customers=raw_customers(t), geolocation=raw_geolocation(t))
+    return LazyTables({name: (lambda build=build: build(t)) for name, build in RAW.items()})
 
 
-def load_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False) -> Marketplace:
-    """Staged marketplace over the test parquet (lazy apart from the one pass that
-    numbers order lines)."""
+def load_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False, odd_money: bool = False) -> LazyTables:
+    """Staged marketplace over the test parquet, each table planned when it is first read."""
+    staged = staging.stage_all(load_raw_testdata(spark, sf_dir))
     t = read_tables(spark, sf_dir)
-    raw = RawMarketplace(
-        sellers=raw_sellers(t), products=raw_products(t), category_translation=raw_category_translation(t),
-        orders=typed_orders(t), order_items=typed_order_items(t), order_payments=typed_order_payments(t),
-        customers=raw_customers(t), geolocation=raw_geolocation(t))
-    staged = staging.stage_all(raw)
     if zero_months:
-        staged = staged.replace(order_items=zero_month_items(t, staged.order_items))
+        return LazyTables({n: (lambda n=n: getattr(staged, n)) for n in RAW}
+                          | {"order_items": lambda: zero_month_items(t, staged.order_items)})
+    if odd_money:
+        return LazyTables({n: (lambda n=n: getattr(staged, n)) for n in RAW}
+                          | {"order_items": lambda: odd_money_items(staged.order_items)})
     return staged
