@@ -67,34 +67,74 @@ class CachedTokenizer:
     after it.  Byte-level pre-tokens never go on from a character that is not
     white space into white space, so the ids of chunks, joined, are those of the
     text.  A text with any other white space is encoded whole, as are long chunks.
+    Letters do not go on into a character that is neither letter nor white space
+    either: where a text's letters are those of ``_PLAIN``, words are chunks without
+    what follows them, so fewer chunks differ.
     """
 
     _CHUNKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+    _PLAIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+    _WORDS = re.compile(rf"[ \n]*[{_PLAIN}]+|[ \n]*[^ \n{_PLAIN}][^ \n]*|[ \n]+")
+    _NOT_PLAIN = re.compile(rf"[^\x00-\x7f{_PLAIN}]")
     _OTHER_SPACE = re.compile(r"[^\S \n]")
 
-    def __init__(self, path: str, entries: int = 300_000, longest: int = 40):
+    def __init__(self, path: str, entries: int = 1_000_000, longest: int = 40):
         self.tok, self.entries, self.longest, self.known = _tokenizer(path), entries, longest, {}
+        # Byte-level tokens are written with one character per byte.
+        vocab = self.tok.get_vocab()
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [None if t and self._OTHER_SPACE.search(t) else self._CHUNKS.findall(t or "") for t in texts]
-        wanted = set().union(*(c for c in split if c))
+    def _encode_joined(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that begin with white space and end without: encoded as one text, cut by the tokens' bytes."""
+        ids = np.array(self.tok.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.cumsum([len(c.encode()) for c in chunks])
+        at = np.cumsum(self.bytes_of[ids])
+        cuts = np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or (at[cuts] != ends).any():
+            return self._encode(chunks)
+        cuts, raw = [0, *(4 * (cuts + 1)).tolist()], ids.tobytes()
+        return [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+
+    def _learn(self, wanted: set[str]) -> None:
         if len(self.known) > self.entries:
             self.known.clear()
         new = [c for c in wanted if c not in self.known and len(c) <= self.longest]
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            self.known.update(zip(part, self._encode(part)))
+        # Joined chunks must begin with white space, and the one before must not end with it.
+        inner = [c for c in new if c[0] in " \n" and c[-1] not in " \n"]
+        outer = [c for c in new if c[0] not in " \n" or c[-1] in " \n"]
+        for encode, chunks in ((self._encode_joined, inner), (self._encode, outer)):
+            for i in range(0, len(chunks), 1024):
+                self.known.update(zip(chunks[i:i + 1024], encode(chunks[i:i + 1024])))
+
+    def _split(self, text: str) -> list[str] | None:
+        if self._OTHER_SPACE.search(text):
+            return None
+        return (self._CHUNKS if self._NOT_PLAIN.search(text) else self._WORDS).findall(text)
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        split = [self._split(t or "") for t in texts]
+        self._learn(set().union(*(c for c in split if c)))
         known = self.known
         for t, chunks in zip(texts, split):
             if chunks is None:
                 yield self._encode([t])[0]
-            else:
+                continue
+            try:
+                yield b"".join(map(known.__getitem__, chunks))
+            except KeyError:                                  # a long chunk
                 yield b"".join([known[c] if c in known else self._encode([c])[0] for c in chunks])
 
 
+@lru_cache(maxsize=2)
+def _cached_tokenizer(path: str) -> CachedTokenizer:
+    return CachedTokenizer(path)              # one per worker process: its tasks share the chunks
+
+
 def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048,
              tokenizer: str | None = None, end_id: int = 0, keep_ids: bool = True) -> DataFrame:
     """``key, piece, start, length, ids_crc32, ids`` for every piece of every row.
@@ -108,7 +148,7 @@ def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity:
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached = CachedTokenizer(path)
+        cached = _cached_tokenizer(path)
         for b in batches:
             schema = pa.schema([("k", b.schema.field("k").type), ("piece", pa.int32()), ("start", pa.int64()),
                                 ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
