@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tradewind.sources.testdata import read_tables, typed_order_items
+from tradewind.sources.testdata import ParquetTables, typed_order_items
 
 
 def _window_numbers(li):
@@ -14,7 +14,7 @@ def _window_numbers(li):
 
 
 def test_line_numbers_match_window_on_test_data(spark):
-    t = read_tables(spark, "/root/testdata/sf0.01")
+    t = ParquetTables(spark, "/root/testdata/sf0.01")
     got = typed_order_items(t).select("order_id", "order_item_id", "product_id")
     ref = _window_numbers(t["lineitem"])
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import round_half_up, title_case, to_month
 from tradewind.operators.common import conform
 from tradewind.sources.tables import Marketplace
-from tradewind.sources.testdata import raw_customers, raw_sellers, read_tables
+from tradewind.sources.testdata import ParquetTables, raw_customers, raw_sellers
 
 TITLE_CASE_SCHEMA = [("raw_city", "VARCHAR"), ("city", "VARCHAR")]
 ROUNDING_SCHEMA = [("seller_id", "KEY"), ("month", "DATE"), ("avg_price_1", "DOUBLE"), ("avg_price_2", "DOUBLE")]
@@ -16,7 +16,7 @@ ROUNDING_SCHEMA = [("seller_id", "KEY"), ("month", "DATE"), ("avg_price_1", "DOU
 
 def title_case_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: every distinct raw city text (sellers and customers) with its title case."""
-    t = read_tables(spark, sf_dir, ("region", "nation", "customer", "supplier"))
+    t = ParquetTables(spark, sf_dir)
     cities = (raw_sellers(t).select(F.col("seller_city").alias("raw_city"))
               .unionByName(raw_customers(t).select(F.col("customer_city").alias("raw_city"))).distinct())
     return conform(cities.withColumn("city", title_case(F.trim("raw_city"))), TITLE_CASE_SCHEMA)

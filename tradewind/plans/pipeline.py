@@ -114,9 +114,8 @@ def run_pipeline(spark: SparkSession, raw: RawMarketplace, root: str, *, min_row
     sc = spark.sparkContext
     t0 = time.perf_counter()
     sc.setJobDescription("staging")
-    with intermediates(spark):
-        staged = write_staging(spark, raw, root, bucketed=bucketed, workers=workers)
-    counts.update({f"staging.{k}": v for k, v in staged.items()})
+    # What building ``raw`` writes belongs to the caller, who may use ``raw`` again.
+    counts.update({f"staging.{k}": v for k, v in write_staging(spark, raw, root, bucketed=bucketed, workers=workers).items()})
     timings["staging"] = time.perf_counter() - t0
 
     t0 = time.perf_counter()

@@ -13,11 +13,16 @@ from tradewind.operators import staging
 from tradewind.operators.ranking import POS, RANK, global_positions
 from tradewind.sources.tables import LazyTables
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+class ParquetTables(dict):
+    """The Parquet tables of a folder by name, each opened (its footer read) when first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._folder = spark, sf_dir.rstrip("/")
 
-def read_tables(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self[name]
 
 
 def _minutes(n) -> F.Column:
@@ -156,16 +161,16 @@ RAW = {"sellers": raw_sellers, "products": raw_products, "category_translation":
        "customers": raw_customers, "geolocation": raw_geolocation}
 
 
-def load_raw_testdata(spark: SparkSession, sf_dir: str) -> LazyTables:
+def load_raw_testdata(spark: SparkSession, sf_dir: str, tables: ParquetTables | None = None) -> LazyTables:
     """Raw inputs over the test parquet; numbering the order lines runs only if items are read."""
-    t = read_tables(spark, sf_dir)
+    t = ParquetTables(spark, sf_dir) if tables is None else tables
     return LazyTables({name: (lambda build=build: build(t)) for name, build in RAW.items()})
 
 
 def load_testdata(spark: SparkSession, sf_dir: str, zero_months: bool = False, odd_money: bool = False) -> LazyTables:
     """Staged marketplace over the test parquet, each table planned when it is first read."""
-    staged = staging.stage_all(load_raw_testdata(spark, sf_dir))
-    t = read_tables(spark, sf_dir)
+    t = ParquetTables(spark, sf_dir)
+    staged = staging.stage_all(load_raw_testdata(spark, sf_dir, t))
     if zero_months:
         return LazyTables({n: (lambda n=n: getattr(staged, n)) for n in RAW}
                           | {"order_items": lambda: zero_month_items(t, staged.order_items)})
