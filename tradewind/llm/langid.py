@@ -12,8 +12,9 @@ They are parsed in segments of ``SEGMENT`` characters, many segments of many
 texts in step, one array operation per character position for all languages.
 A segment border adds a phrase at most, alike for every language.
 
-Learning is bounded: ``sample_chars`` characters per language, taken from windows
-of documents chosen by hash over the whole training table.  The model is the
+Learning is bounded: ``sample_chars`` characters per language (less, if there are more
+than ``ALL_CHARS / sample_chars`` languages), taken from windows of documents chosen
+by hash over the whole training table; ``MAX_LANGUAGES`` languages at most.  The model is the
 sample text itself; each worker builds the automata once.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0;
@@ -37,6 +38,8 @@ from tradewind.llm.common import batches_of, keep_rows
 
 #: Characters of labelled text per language, and of the window taken from one document.
 SAMPLE_CHARS, WINDOW = 50_000, 4_096
+#: Characters of all samples together (the workers' tables grow with them), and languages learned at most.
+ALL_CHARS, MAX_LANGUAGES = 400_000, 1_000
 #: Characters of a segment; segments parsed in step.
 SEGMENT, TOGETHER = 1_024, 4_096
 #: Letters that the automata tell apart at most.
@@ -59,8 +62,13 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """Samples of each language's text in ``docs``, the labelled training rows."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")) \
         .where("text IS NOT NULL AND lang IS NOT NULL")
-    # One row per language.  Windows of three times the sample are fetched, so that short texts are enough too.
-    totals = rows.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(WINDOW))).alias("total"))
+    # One row per language: a bounded table, the languages with most text.
+    totals = rows.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(WINDOW))).alias("total")) \
+        .orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
+    languages = totals.collect()
+    sample_chars = min(sample_chars, ALL_CHARS // max(1, len(languages)))
+    totals = rows.sparkSession.createDataFrame([(r["lang"], r["total"]) for r in languages], "lang string, total long")
+    # Windows of three times the sample are fetched, so that short texts are enough too.
     place = F.xxhash64(F.lit("language sample"), "key", "text")
     share = F.pmod(place, F.lit(1 << 40)) / F.lit(float(1 << 40))
     windows = rows.join(F.broadcast(totals), "lang") \
