@@ -112,5 +112,29 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
 }
 
+def _secrets_sql() -> str:
+    """Spans by unnested gaps and matches, positions by running sums of their lengths."""
+    from tradewind.llm import secret_ledger as sl
+
+    found = []
+    for rank, rule in enumerate(sl.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        part = [f"unnest(regexp_extract_all(t, '(?s)(.*?)({pattern}|\\z)', {i})) AS {c}"
+                for i, c in ((1, "g"), (2, "m"), (2 + rule.group, "v"))]
+        found.append(f"""SELECT row_id, {rank} AS rank, '{rule.kind}' AS kind, e - length(m) AS s, e FROM (
+  SELECT *, SUM(length(g) + length(m)) OVER (PARTITION BY row_id ORDER BY i) AS e FROM (
+    SELECT row_id, {", ".join(part)}, generate_subscripts(regexp_extract_all(t, '(?s)(.*?)({pattern}|\\z)', 1), 1) AS i
+    FROM texts WHERE regexp_matches(t, '{pattern}'))) WHERE length(v) >= {max(rule.least, 1)}""")
+    base = ", ".join(f"'{r.kind}'" for r in sl.BASE_RULES)
+    one = "string_agg(concat(kind, ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)), ',' ORDER BY s, rank, e)"
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in sl.BASE_RULES)
+    union = " UNION ALL ".join(found)
+    return f"""WITH texts AS (SELECT row_number() OVER () AS row_id, doc_id, COALESCE(text, '') AS t FROM documents),
+spans AS ({union}),
+rows AS (SELECT row_id, {counts}, {one} FILTER (WHERE kind IN ({base})) AS base, {one} AS spans FROM spans GROUP BY row_id)
+SELECT doc_id, {", ".join(f"COALESCE(n_{r.kind}, 0) AS n_{r.kind}" for r in sl.BASE_RULES)},
+  sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans FROM texts LEFT JOIN rows USING (row_id)"""
+
+
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_secret_ledger": _secrets_sql()}
