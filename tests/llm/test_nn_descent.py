@@ -63,6 +63,39 @@ def test_query_against_brute_force_with_odd_rows(spark, tmp_path, monkeypatch):
         assert (r.n_links, r.component_id, r.kept) == (links, component, r.vec_id == component), r
 
 
+def at_cosine(rng, v, cosine):
+    """A random unit vector with that cosine to the unit vector ``v``."""
+    w = rng.normal(size=len(v))
+    w -= (w @ v) * v
+    return cosine * v + np.sqrt(1 - cosine ** 2) * w / np.linalg.norm(w)
+
+
+def test_links_beyond_full_lists_join_groups(spark):
+    """Two groups whose members have more links within their own group than a list has places."""
+    rng = np.random.default_rng(5)
+    a = np.eye(24)[0]
+    b = at_cosine(rng, a, 0.955)
+    rows = [(i, at_cosine(rng, c, 0.996).tolist(), 1) for i, c in enumerate([a] * 14 + [b] * 14)]
+    want = brute(rows)
+    assert {c for _, c in want.values()} == {0}
+    got = nd.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == want
+
+
+def test_saturated_lists_are_enlarged_to_their_component(spark):
+    """Nodes 1 and 11 know each other, but of their groups only 2 and 12 are linked."""
+    angles = {1: 0.0, 2: 0.3, 3: 0.1, 4: 0.2, 11: 0.8, 12: 0.5, 13: 0.7, 14: 0.6}
+    nodes = spark.createDataFrame([(n, "1:2", 1, np.array([np.cos(x), np.sin(x)]).tobytes()) for n, x in angles.items()],
+                                  "node long, grp string, copies long, vector binary")
+    pairs = [(u, v, float(np.cos(angles[u] - angles[v])), False) for g in ((1, 2, 3, 4), (11, 12, 13, 14))
+             for u in g for v in g if u != v]
+    pairs.append((1, 11, float(np.cos(0.8)), False))
+    lists = spark.createDataFrame(pairs, "u long, v long, sim double, fresh boolean")
+    parts = spark.createDataFrame([(n, 1 if n < 10 else 11) for n in angles], "node long, component long")
+    _, parts = nd.enlarged(nodes, lists, parts, 0.95, k=3)
+    assert {r.component for r in parts.collect()} == {1}
+
+
 def test_audit_sees_missing_links(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (3, [0.0, 1.0], 1)], SCHEMA)
     nodes = spark.createDataFrame([(r.vec_id, "1:2", 1, np.array(r.embedding).tobytes()) for r in rows.collect()],

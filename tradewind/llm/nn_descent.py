@@ -8,12 +8,17 @@ Within each label, every distinct vector keeps a list of its ``K`` nearest other
    compared with one another (neighbours of neighbours), and lists keep the
    nearest.  Pairs that were compared before are not compared again: one of the
    two must be new to the node.  Rounds end when few lists change.
-3. A list is saturated if even its last neighbour is within the threshold: more
-   may be.  Its node's list is then enlarged to all members of its component of
-   threshold links, found by ``components.py``.  Each pair of a component is compared
-   exactly once, in cells of bounded size, and adds to the two nodes' numbers of
-   links; the pairs themselves are never written.  The same pass counts the
-   links of the other nodes, so numbers of links are exact within components.
+   A list has ``K`` places for links (pairs within the threshold) and ``K`` for the
+   nearest others, so links never push out the rest.  Links join components whether
+   lists have a place for them or not: every comparison yields a spanning forest of
+   the links it sees, and ``components.py`` joins these.
+3. A list is saturated if its places for links are full: more may be.  Lists that grew
+   until they are not would be quadratic in a large group, so the list is enlarged to
+   the node's whole component: all its members are compared with
+   all nodes outside that list one of them or are listed by one, in cells of bounded size,
+   until no link is new and few lists change.  At last each pair of a component is compared
+   exactly once and adds to the two nodes' numbers of links; the pairs themselves
+   are never written.  Numbers of links are thus exact within components.
 4. Audit: a bounded sample of nodes is compared with all others of their labels.
    If less than ``RECALL`` of the links were found, lists take further tables and rounds.
 
@@ -42,7 +47,7 @@ from tradewind.llm.common import materialize
 from tradewind.llm.components import components
 from tradewind.llm.vectors import cosines, unit, usable
 
-#: Neighbours of a list; tables of codes; vectors of a bucket; rows of a chunk.
+#: Links of a list, and other neighbours; tables of codes; vectors of a bucket; rows of a chunk.
 K, TABLES, BUCKET, CHUNK = 8, 4, 128, 512
 #: Rounds at most; the share of list entries that must change for another one.
 ROUNDS, CHANGED = 6, 0.01
@@ -91,53 +96,108 @@ def _cell_runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.
         yield held
 
 
+def _stars(hit: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """A row of each component of the links ``hit``, and the component's other rows."""
+    hit = hit | hit.T
+    left = hit.any(axis=1)
+    while left.any():
+        first = int(np.argmax(left))
+        seen = np.zeros(len(hit), dtype=bool)
+        seen[first] = True
+        front = np.array([first])
+        while len(front):
+            reached = hit[front].any(axis=0) & ~seen
+            seen |= reached
+            front = np.flatnonzero(reached)
+        left &= ~seen
+        seen[first] = False
+        yield first, np.flatnonzero(seen)
+
+
 def _compared(cells: DataFrame, keys: list[str], k: int, threshold: float) -> DataFrame:
-    """``u, v, sim``: for each row of a cell its best partners there, if better than its list's last.
+    """``u, v, sim, link``: for each row of a cell its best partners there, links and others, if better than
+    its list's last; and, with NULL ``sim``, a spanning forest of all links of the cell, ``link`` being true.
 
-    Rows have ``node, vector, last, fresh``; a pair needs one fresh row.
+    Rows have ``node, vector, last_link, last, fresh, side``; a pair needs one fresh row and two sides.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         us, vs, ss, held = [], [], [], 0
+
+        def add(u, v, s):
+            nonlocal held
+            us.append(u)
+            vs.append(v)
+            ss.append(s)
+            held += len(u)
+
+        def out():
+            sim = np.concatenate(ss)
+            return pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs), "sim": sim, "link": np.isnan(sim)})
+
         for cell in _cell_runs(batches, [*keys, *_CELL]):
             if len(cell) < 2:
                 continue
-            node, last, fresh = cell["node"].to_numpy(), cell["last"].to_numpy(), cell["fresh"].to_numpy(dtype=bool)
+            node, side, fresh = cell["node"].to_numpy(), cell["side"].to_numpy(), cell["fresh"].to_numpy(dtype=bool)
             m = _matrix(cell["vector"])
             sims = _similar(m, m, threshold)
             own, a, b = cell["own"].to_numpy(), int(cell["cell_a"].iloc[0]), int(cell["cell_b"].iloc[0])
-            off = (node[:, None] == node[None, :]) | ~(fresh[:, None] | fresh[None, :])
+            off = (side[:, None] == side[None, :]) | ~(fresh[:, None] | fresh[None, :])
             if a != b:
                 off |= own[:, None] == own[None, :]           # pairs of one chunk meet in a cell of their own
             sims[off] = -2
-            sims[sims <= last[:, None]] = -2
-            best = np.argpartition(-sims, min(k, len(cell)) - 1, axis=1)[:, :k]
-            s = np.take_along_axis(sims, best, axis=1)
-            i, j = np.nonzero(s > -2)
-            us.append(node[i])
-            vs.append(node[best[i, j]])
-            ss.append(s[i, j])
-            held += len(i)
+            hit = sims >= threshold
+            for first, rest in _stars(hit):
+                add(node[rest], np.full(len(rest), node[first]), np.full(len(rest), np.nan))
+            for kind, last in ((hit, "last_link"), (~hit, "last")):
+                wanted = np.where(kind & (sims > cell[last].to_numpy()[:, None]), sims, -2)
+                if not (wanted > -2).any():
+                    continue
+                best = np.argpartition(-wanted, min(k, len(cell)) - 1, axis=1)[:, :k]
+                s = np.take_along_axis(wanted, best, axis=1)
+                i, j = np.nonzero(s > -2)
+                add(node[i], node[best[i, j]], s[i, j])
             if held > 100_000:
-                yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs), "sim": np.concatenate(ss)})
+                yield out()
                 us, vs, ss, held = [], [], [], 0
         if held:
-            yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs), "sim": np.concatenate(ss)})
+            yield out()
 
-    rows = cells.select(*keys, *_CELL, "own", "node", "vector", "last", "fresh")
+    rows = cells.select(*keys, *_CELL, "own", "node", "vector", "last_link", "last", "fresh", "side")
     return rows.repartition(*keys, *_CELL).sortWithinPartitions(*keys, *_CELL) \
-        .mapInPandas(run, "u long, v long, sim double")
+        .mapInPandas(run, "u long, v long, sim double, link boolean")
 
 
-def _lists(found: DataFrame, old: DataFrame | None, k: int) -> DataFrame:
-    """``u, v, sim, fresh``: the ``k`` nearest of each node among the old list and what was found."""
-    pairs = found.withColumn("fresh", F.lit(True))
+def _lists(found: DataFrame, old: DataFrame | None, k: int, threshold: float) -> DataFrame:
+    """``u, v, sim, fresh``: the ``k`` nearest links and others of each node among the old list and what was found."""
+    pairs = found.where("NOT link").select("u", "v", "sim").withColumn("fresh", F.lit(True))
     if old is not None:
         pairs = pairs.unionByName(old.select("u", "v", "sim").withColumn("fresh", F.lit(False)))
     pairs = pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    order = Window.partitionBy("u").orderBy(F.col("sim").desc(), "v")
+    order = Window.partitionBy("u", F.col("sim") >= threshold).orderBy(F.col("sim").desc(), "v")
     return pairs.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
 
 
+def _with_last(rows: DataFrame, lists: DataFrame, k: int, threshold: float) -> DataFrame:
+    """``rows`` with the last similarity of the node's full lists, -1.5 for lists that have room."""
+    full = lambda kind: F.when(F.count(F.when(kind, 1)) >= k, F.min(F.when(kind, F.col("sim")))).otherwise(-1.5)
+    link = F.col("sim") >= threshold
+    last = lists.groupBy(F.col("u").alias("node")).agg(full(link).alias("last_link"), full(~link).alias("last"))
+    return rows.join(last, "node", "left").fillna(-1.5, ["last_link", "last"])
+
+
+def _joined(parts: DataFrame, found: DataFrame) -> tuple[DataFrame, bool]:
+    """``node, component`` after the links of ``found``, and whether any of them joined two components."""
+    u, v = (parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component")) for c in "uv")
+    across = found.where("link").select("u", "v").join(u, "u").join(v, "v") \
+        .select(F.col("u_component").alias("u"), F.col("v_component").alias("v")).where("u <> v").distinct()
+    across = materialize(across, "nn-across")
+    if across.isEmpty():
+        return parts, False
+    moved = components(across).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    parts = parts.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return materialize(parts, "nn-components"), True
+
+
 def _start(nodes: DataFrame, width: int, k: int, threshold: float, tables: int, seed: int) -> DataFrame:
     """Candidates from the buckets of random-hyperplane codes."""
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
@@ -166,7 +226,7 @@ def _start(nodes: DataFrame, width: int, k: int, threshold: float, tables: int,
     coded = nodes.join(sizes, "grp").select("grp", "node", "vector", bits.alias("bits")) \
         .mapInPandas(by_width, "grp string, node long, vector binary, bucket long")
     cells = with_cells(coded, ["grp", "bucket"], "node", CHUNK) \
-        .withColumn("last", F.lit(-1.5)).withColumn("fresh", F.lit(True))
+        .withColumns({"last_link": F.lit(-1.5), "last": F.lit(-1.5), "fresh": F.lit(True), "side": F.col("node")})
     return _compared(cells, ["grp", "bucket"], k, threshold)
 
 
@@ -177,23 +237,61 @@ def _round(lists: DataFrame, nodes: DataFrame, k: int, threshold: float) -> Data
     self_ = lists.select(F.col("u").alias("w"), F.col("u").alias("node"), F.lit(False).alias("fresh"))
     members = near.unionByName(back).unionByName(self_).groupBy("w", "node").agg(F.max("fresh").alias("fresh"))
     busy = members.groupBy("w").agg(F.max("fresh").alias("any")).where("any").select("w")
-    last = lists.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(-1.5).alias("last"))
-    known = nodes.select("node", "vector").join(last.withColumnRenamed("u", "node"), "node", "left") \
-        .withColumn("last", F.coalesce("last", F.lit(-1.5)))
+    known = _with_last(nodes.select("node", "vector", F.col("node").alias("side")), lists, k, threshold)
     cells = with_cells(members.join(busy, "w", "left_semi"), ["w"], "node", CHUNK)
     return _compared(cells.join(known, "node"), ["w"], k, threshold)
 
 
-def neighbour_lists(nodes: DataFrame, width: int, threshold: float, k: int = K, rounds: int = ROUNDS,
-                    tables: int = TABLES, seed: int = 0, lists: DataFrame | None = None) -> DataFrame:
-    """``u, v, sim, fresh``: the lists of all nodes that have any neighbour."""
+def neighbour_lists(nodes: DataFrame, parts: DataFrame, width: int, threshold: float, k: int = K, rounds: int = ROUNDS,
+                    tables: int = TABLES, seed: int = 0, lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``u, v, sim, fresh``, the lists of all nodes that have any neighbour; and the components after all links found."""
     total = max(1, nodes.count() * k)
-    lists = materialize(_lists(_start(nodes, width, k, threshold, tables, seed), lists, k), "nn-lists")
+    found = materialize(_start(nodes, width, k, threshold, tables, seed), "nn-found")
+    lists = materialize(_lists(found, lists, k, threshold), "nn-lists")
+    parts, _ = _joined(parts, found)
     for _ in range(rounds):
-        lists = materialize(_lists(_round(lists, nodes, k, threshold), lists, k), "nn-lists")
+        found = materialize(_round(lists, nodes, k, threshold), "nn-found")
+        lists = materialize(_lists(found, lists, k, threshold), "nn-lists")
+        parts, _ = _joined(parts, found)
         if lists.where("fresh").count() < CHANGED * total:
             break
-    return lists
+    return lists, parts
+
+
+def _beside(lists: DataFrame, parts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """``w, node, side``: the components ``w`` that hold a saturated list: their members (side 0), and the nodes
+    of other components that are listed by a member or list one (side 1)."""
+    full = lists.where(F.col("sim") >= threshold).groupBy(F.col("u").alias("node")).agg(F.count("*").alias("n")) \
+        .where(F.col("n") >= k)
+    wide = full.join(parts, "node").select(F.col("component").alias("w")).distinct()
+    of = parts.select(F.col("node").alias("u"), F.col("component").alias("w"))
+    to = parts.select(F.col("node").alias("v"), F.col("component").alias("c"))
+    ends = lists.select("u", "v").join(of, "u").join(to, "v").where("w <> c")
+    outside = ends.select("w", F.col("v").alias("node")).unionByName(ends.select(F.col("c").alias("w"), F.col("u").alias("node")))
+    return parts.select(F.col("component").alias("w"), "node", F.lit(0).cast("long").alias("side")) \
+        .unionByName(outside.distinct().withColumn("side", F.lit(1).cast("long"))).join(wide, "w", "left_semi")
+
+
+def enlarged(nodes: DataFrame, lists: DataFrame, parts: DataFrame, threshold: float,
+             k: int = K) -> tuple[DataFrame, DataFrame]:
+    """Lists and components after saturated lists were enlarged to their components until no link is new
+    and few lists change."""
+    seen, entries = None, max(1, lists.count())
+    while True:
+        rows = materialize(_beside(lists, parts, k, threshold), "nn-beside")
+        if seen is not None:                                  # the same components: what is beside them may be new
+            rows = rows.join(seen, ["w", "node", "side"], "left").withColumn("fresh", F.col("seen").isNull()).drop("seen")
+        else:
+            rows = rows.withColumn("fresh", F.col("side") == 1)
+        busy = rows.where("fresh").select("w").distinct()
+        cells = with_cells(rows.join(busy, "w", "left_semi"), ["w"], "node", CHUNK)
+        known = _with_last(nodes.select("node", "vector"), lists, k, threshold)
+        found = materialize(_compared(cells.join(known, "node"), ["w"], k, threshold), "nn-found")
+        lists = materialize(_lists(found, lists, k, threshold), "nn-lists")
+        before, (parts, joined) = rows, _joined(parts, found)
+        if not joined and lists.where("fresh").count() < CHANGED * entries:
+            return lists, parts
+        seen = None if joined else before.select("w", "node", "side", F.lit(True).alias("seen"))
 
 
 def _count_links(nodes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
@@ -256,10 +354,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, key: str = "
             yield pdf.assign(vector=[unit(np.asarray(v, dtype=np.float64)[None, :])[0].tobytes() for v in pdf["vector"]])
 
     nodes = materialize(_nodes(rows).mapInPandas(pack, "node long, grp string, copies long, vector binary"), "nn-nodes")
-    lists, seed = None, 0
+    lists, parts, seed = None, nodes.select("node", F.col("node").alias("component")), 0
     while True:
-        lists = neighbour_lists(nodes, width, threshold, seed=seed, lists=lists)
-        parts = materialize(components(lists.where(F.col("sim") >= threshold)), "nn-components")
+        lists, parts = neighbour_lists(nodes, parts, width, threshold, seed=seed, lists=lists)
+        lists, parts = enlarged(nodes, lists, parts, threshold)
         links = materialize(_count_links(nodes, parts, threshold), "nn-links")
         if seed >= ATTEMPTS or audit(nodes, links, threshold) >= RECALL:
             break
