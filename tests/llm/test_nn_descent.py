@@ -105,5 +105,34 @@ def test_audit_sees_missing_links(spark):
     assert nd.audit(nodes, spark.createDataFrame([(1, 1), (2, 1)], "node long, links long"), 0.93) == 1.0
 
 
+def test_audit_meets_rare_links(spark):
+    """One linked pair among 2,000 nodes, and a large group whose links are all known."""
+    rng = np.random.default_rng(7)
+    vectors = [v / np.linalg.norm(v) for v in rng.normal(size=(2000, 24))]
+    vectors.append(at_cosine(rng, vectors[0], 0.99))
+    rows = [(i, "1:24", 1, v.tobytes()) for i, v in enumerate(vectors)]
+    nodes = spark.createDataFrame(rows, "node long, grp string, copies long, vector binary")
+    none = spark.createDataFrame([], "node long, links long")
+    assert nd.audit(nodes, none, 0.93) == 0.0
+    assert nd.audit(nodes, spark.createDataFrame([(0, 1), (2000, 1)], "node long, links long"), 0.93) == 1.0
+
+
+def test_tables_grow_with_the_codes():
+    same = 1 - np.arccos(0.93) / np.pi
+    for bits in range(41):
+        assert 1 - (1 - same ** bits) ** nd._tables(bits, 0.93) >= nd.START
+
+
+def test_missed_links_are_found_by_comparing_all(spark, monkeypatch):
+    """The descent finds no link at all."""
+    monkeypatch.setattr(nd, "CHUNK", 16)
+    nothing = spark.createDataFrame([], "u long, v long, sim double, fresh boolean")
+    monkeypatch.setattr(nd, "neighbour_lists", lambda nodes, parts, *_, **__: (nothing, parts))
+    monkeypatch.setattr(nd, "enlarged", lambda nodes, lists, parts, *_: (lists, parts))
+    rows = [r for r in fixture(3) if r[0] % 7 == 0]
+    got = nd.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == brute(rows)
+
+
 def test_empty_table(spark):
     assert nd.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -2,12 +2,14 @@
 
 Within each label, every distinct vector keeps a list of its ``K`` nearest others:
 
-1. Lists start from buckets of random-hyperplane codes, about ``BUCKET`` vectors each,
-   in several tables.
+1. Lists start from buckets of random-hyperplane codes, about ``BUCKET`` vectors each.
+   Codes grow with the label's size; so many tables of them are made that a pair at the
+   threshold shares a bucket with chance ``START``, however long they are.
 2. NN-descent: the members of a node's list and the nodes that list it are
    compared with one another (neighbours of neighbours), and lists keep the
    nearest.  Pairs that were compared before are not compared again: one of the
-   two must be new to the node.  Rounds end when few lists change.
+   two must be new to the node.  Rounds end when few lists change and no link joined
+   two components.
    A list has ``K`` places for links (pairs within the threshold) and ``K`` for the
    nearest others, so links never push out the rest.  Links join components whether
    lists have a place for them or not: every comparison yields a spanning forest of
@@ -19,8 +21,10 @@ Within each label, every distinct vector keeps a list of its ``K`` nearest other
    until no link is new and few lists change.  At last each pair of a component is compared
    exactly once and adds to the two nodes' numbers of links; the pairs themselves
    are never written.  Numbers of links are thus exact within components.
-4. Audit: a bounded sample of nodes is compared with all others of their labels.
-   If less than ``RECALL`` of the links were found, lists take further tables and rounds.
+4. Audit: random nodes are compared with all others of their labels, until ``LINKED``
+   nodes that have links (or all nodes) were met.  If less than ``RECALL`` of them have all
+   of their links, further tables and rounds are made, ``ATTEMPTS`` times; after that all pairs of each
+   label are compared, in cells, which is quadratic but misses nothing.
 
 Hot buckets, much-listed nodes and large components are cut into cells
 (``cells.py``).  Equal vectors are one node with a multiplicity, so a vector that
@@ -47,12 +51,13 @@ from tradewind.llm.common import materialize
 from tradewind.llm.components import components
 from tradewind.llm.vectors import cosines, unit, usable
 
-#: Links of a list, and other neighbours; tables of codes; vectors of a bucket; rows of a chunk.
-K, TABLES, BUCKET, CHUNK = 8, 4, 128, 512
-#: Rounds at most; the share of list entries that must change for another one.
-ROUNDS, CHANGED = 6, 0.01
-#: The audit: nodes compared with all others, the recall to reach, further attempts.
-AUDITED, RECALL, ATTEMPTS = 256, 0.99, 2
+#: Links of a list, and other neighbours; vectors of a bucket; rows of a chunk.
+K, BUCKET, CHUNK = 8, 128, 512
+#: The chance that a pair at the threshold meets in a start bucket; the share of list entries that must change for another round.
+START, CHANGED = 0.9, 0.01
+#: The audit: nodes compared with all others at first and at a time, nodes with links to meet, the share of
+#: these that must have all their links, further attempts.
+AUDITED, AT_ONCE, LINKED, RECALL, ATTEMPTS = 256, 8_192, 300, 0.99, 2
 
 _CELL = ["cell_a", "cell_b"]
 
@@ -198,12 +203,20 @@ def _joined(parts: DataFrame, found: DataFrame) -> tuple[DataFrame, bool]:
     return materialize(parts, "nn-components"), True
 
 
-def _start(nodes: DataFrame, width: int, k: int, threshold: float, tables: int, seed: int) -> DataFrame:
+def _tables(bits: int, threshold: float) -> int:
+    """Tables of codes of so many bits for a pair at the threshold to share a bucket with chance ``START``."""
+    same = max(0.5, 1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits
+    return 1 if same >= START else int(np.ceil(np.log1p(-START) / np.log1p(-same)))
+
+
+def _start(nodes: DataFrame, width: int, k: int, threshold: float, seed: int) -> DataFrame:
     """Candidates from the buckets of random-hyperplane codes."""
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
     bits = F.least(F.lit(40), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BUCKET)))).cast("int")
+    needed = np.array([_tables(b, threshold) for b in range(41)])
+    most = sizes.agg(F.max(bits)).first()[0] or 0
     rng = np.random.default_rng(seed)
-    planes = rng.normal(size=(tables, 40, width))
+    planes = rng.normal(size=(int(needed[most]), most, width))
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -212,11 +225,13 @@ def _start(nodes: DataFrame, width: int, k: int, threshold: float, tables: int,
             m = _matrix(pdf["vector"])
             wide = np.zeros((len(m), width))
             wide[:, :m.shape[1]] = m[:, :width]
-            for t in range(tables):
+            own = pdf["bits"].to_numpy()
+            for t in range(int(needed[own].max())):
                 # Above the label's number of bits all codes are 0.
-                signs = (wide @ planes[t].T > 0) & (np.arange(40)[None, :] < pdf["bits"].to_numpy()[:, None])
-                yield pd.DataFrame({"grp": pdf["grp"], "node": pdf["node"], "vector": pdf["vector"],
-                                    "bucket": t * (1 << 40) + signs @ (1 << np.arange(40, dtype=np.int64))})
+                signs = (wide @ planes[t].T > 0) & (np.arange(most)[None, :] < own[:, None])
+                coded = pd.DataFrame({"grp": pdf["grp"], "node": pdf["node"], "vector": pdf["vector"],
+                                      "bucket": t * (1 << 40) + signs @ (1 << np.arange(most, dtype=np.int64))})
+                yield coded[needed[own] > t]
 
     def by_width(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -242,20 +257,19 @@ def _round(lists: DataFrame, nodes: DataFrame, k: int, threshold: float) -> Data
     return _compared(cells.join(known, "node"), ["w"], k, threshold)
 
 
-def neighbour_lists(nodes: DataFrame, parts: DataFrame, width: int, threshold: float, k: int = K, rounds: int = ROUNDS,
-                    tables: int = TABLES, seed: int = 0, lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def neighbour_lists(nodes: DataFrame, parts: DataFrame, width: int, threshold: float, k: int = K, seed: int = 0,
+                    lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``u, v, sim, fresh``, the lists of all nodes that have any neighbour; and the components after all links found."""
     total = max(1, nodes.count() * k)
-    found = materialize(_start(nodes, width, k, threshold, tables, seed), "nn-found")
+    found = materialize(_start(nodes, width, k, threshold, seed), "nn-found")
     lists = materialize(_lists(found, lists, k, threshold), "nn-lists")
     parts, _ = _joined(parts, found)
-    for _ in range(rounds):
+    while True:
         found = materialize(_round(lists, nodes, k, threshold), "nn-found")
         lists = materialize(_lists(found, lists, k, threshold), "nn-lists")
-        parts, _ = _joined(parts, found)
-        if lists.where("fresh").count() < CHANGED * total:
-            break
-    return lists, parts
+        parts, joined = _joined(parts, found)
+        if not joined and lists.where("fresh").count() < CHANGED * total:
+            return lists, parts
 
 
 def _beside(lists: DataFrame, parts: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -320,26 +334,50 @@ def _count_links(nodes: DataFrame, parts: DataFrame, threshold: float) -> DataFr
     return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDITED) -> float:
-    """The share of the links of ``sample`` nodes, compared with all others of their labels, that ``links`` has."""
-    asked = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(sample) \
-        .join(links, "node", "left").select("node", "grp", "vector", F.coalesce("links", F.lit(0)).alias("links")).collect()
+def every_link(nodes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
+    """Components by comparing all pairs of each label."""
+    cells = with_cells(nodes, ["grp"], "node", CHUNK) \
+        .withColumns({"last_link": F.lit(2.0), "last": F.lit(2.0), "fresh": F.lit(True), "side": F.col("node")})
+    return _joined(parts, materialize(_compared(cells, ["grp"], 1, threshold), "nn-found"))[0]
+
+
+def _true_links(nodes: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """``node, true``: links (with copies) of the nodes ``asked``, which the driver holds, with all of their labels."""
     by_grp: dict[str, list] = {}
-    for r in asked:
+    for r in asked.select("node", "grp", "vector").toLocalIterator():
         by_grp.setdefault(r["grp"], []).append((r["node"], np.frombuffer(r["vector"], dtype=np.float64)))
     held = {g: (np.array([n for n, _ in rows]), np.stack([v for _, v in rows])) for g, rows in by_grp.items()}
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for g, part in pdf.groupby("grp"):
-                if g in held:
-                    ids, m = held[g]
-                    hit = _similar(m, _matrix(part["vector"]), threshold) >= threshold
-                    hit &= ids[:, None] != part["node"].to_numpy()[None, :]
-                    yield pd.DataFrame({"n": [int((hit @ part["copies"].to_numpy()).sum())]})
-
-    true = nodes.select("node", "grp", "copies", "vector").mapInPandas(scan, "n long").agg(F.sum("n")).first()[0]
-    return sum(r["links"] for r in asked) / true if true else 1.0
+                if g not in held:
+                    continue
+                ids, m = held[g]
+                true = np.zeros(len(ids), dtype=np.int64)
+                for at in range(0, len(part), CHUNK):
+                    some = part.iloc[at:at + CHUNK]
+                    hit = _similar(m, _matrix(some["vector"]), threshold) >= threshold
+                    hit &= ids[:, None] != some["node"].to_numpy()[None, :]
+                    true += hit @ some["copies"].to_numpy()
+                yield pd.DataFrame({"node": ids[true > 0], "n": true[true > 0]})
+
+    return nodes.select("node", "grp", "copies", "vector").mapInPandas(scan, "node long, n long") \
+        .groupBy("node").agg(F.sum("n").alias("true"))
+
+
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, linked: int = LINKED) -> float:
+    """The share of nodes with links, of which random nodes are asked until ``linked`` were met, whose links ``links`` has all."""
+    n = nodes.count()
+    place = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    met, whole, at, size = 0, 0, 0.0, AUDITED
+    while met < linked and at < 1 and n:
+        to = min(1.0, at + size / n)
+        true = _true_links(nodes, nodes.where((place >= at) & (place < to)), threshold).join(links, "node", "left")
+        right = F.coalesce(F.col("links"), F.lit(0)) == F.col("true")
+        a, b = true.agg(F.count("*"), F.count(F.when(right, 1))).first()
+        met, whole, at, size = met + a, whole + b, to, min(4 * size, AT_ONCE)
+    return whole / met if met else 1.0
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, key: str = "vec_id", vector: str = "embedding",
@@ -359,7 +397,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, key: str = "
         lists, parts = neighbour_lists(nodes, parts, width, threshold, seed=seed, lists=lists)
         lists, parts = enlarged(nodes, lists, parts, threshold)
         links = materialize(_count_links(nodes, parts, threshold), "nn-links")
-        if seed >= ATTEMPTS or audit(nodes, links, threshold) >= RECALL:
+        if audit(nodes, links, threshold) >= RECALL:
+            break
+        if seed >= ATTEMPTS:
+            parts = every_link(nodes, parts, threshold)
+            links = materialize(_count_links(nodes, parts, threshold), "nn-links")
             break
         seed += 1
     of_node = nodes.select("node", "copies").join(parts, "node", "left").join(links, "node", "left") \
