@@ -54,6 +54,16 @@ def test_long_texts_are_parsed_whole():
     assert [p for p, _ in langid._scored([head, head + " " + tail], own)] == ["bb", "aa"]
 
 
+def test_language_with_a_tiny_sample_wins_no_other_texts():
+    letters, rng = {"aa": "abcdefghijklm ", "bb": "nopqrstuvwxyz "}, random.Random(4)
+    text = lambda lang, n: " ".join("".join(rng.choice(letters[lang]) for _ in range(n)).split())
+    model = tuple((lang, f" {text(lang, 20_000)} ") for lang in letters)
+    texts = [(lang, text(lang, 200)) for lang in letters for _ in range(10)]
+    for word in ("a", "ok", "hello"):
+        own = langid.Parser(model + (("zz", f" {word} "),))
+        assert [p for p, _ in langid._scored([t for _, t in texts], own)] == [lang for lang, _ in texts]
+
+
 def test_query_predicts_held_out_rows_and_odd_texts(spark, tmp_path):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice(WORDS[lang]) for _ in range(30)), lang, "s", 1)

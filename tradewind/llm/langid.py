@@ -4,8 +4,9 @@ Per language, a suffix automaton of a sample of labelled text recognises every
 substring of the sample.  A text is parsed greedily into phrases: each is the
 longest prefix of the rest that occurs in the sample (a character that does not
 occur is a phrase of its own).  The fewer phrases, the closer the language; the
-entropy ``phrases * log2(sample length) / characters`` normalises for samples of
-unequal length, and the language with the least wins (ties: the smaller name).
+entropy ``phrases * log2(sample length) / characters`` takes ``SAMPLE_CHARS`` for shorter
+samples, so that a phrase, and a character the sample lacks, is no cheaper where little
+was learned.  The language with the least wins (ties: the smaller name).
 
 Texts are lower-cased; runs of characters that are not letters become one blank.
 They are parsed in segments of ``SEGMENT`` characters, many segments of many
@@ -144,7 +145,7 @@ class Parser:
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, dtype=np.int64)
         if at * self.letters < 1 << 31:
             self.table = self.table.astype(np.int32)
-        self.cost = np.log2([max(2, len(sample)) for _, sample in model])
+        self.cost = np.log2([max(SAMPLE_CHARS, len(sample)) for _, sample in model])
 
     def encode(self, text: str) -> np.ndarray:
         return self.codes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
