@@ -99,6 +99,66 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import spelling
+
+    # A deleted code point only shortens a word, so runs of fewer than 6 can be left out at once.
+    runs = spelling.occurrences(documents(spark, sf_dir), least=6)
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("word")).cast("binary"))
+    at = (h % F.length("word")).cast("int")
+    cut = F.concat(F.substring(F.col("word"), F.lit(1), at), F.substring(F.col("word"), at + 2, F.length("word")))
+    words = runs.select(F.when(h % 199 == 0, cut).otherwise(F.col("word")).alias("word"))
+    return spelling.spelling_groups(spelling.vocabulary(words, least_length=6, least_count=5), factor=5)
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents the words from one on repeat with a period."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = F.col("doc_id").isNotNull() & (h % 10 == 0)
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(chosen, words).alias("w")) \
+        .withColumn("n", F.nullif(F.size("w"), F.lit(0)))
+    rows = rows.withColumn("a", F.col("g") % F.col("n")) \
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    word = lambda x, i: F.when(i < F.col("a"), x).otherwise(
+        F.element_at("w", (F.col("a") + (i - F.col("a")) % F.col("p") + 1).cast("int")))
+    edited = F.array_join(F.transform("w", word), " ")
+    return rows.select("doc_id", F.when(F.col("w").isNotNull() & (F.col("n") > 0), edited)
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import periodic_runs
+
+    found = periodic_runs.periodic_runs(with_periodic_tails(documents(spark, sf_dir)))
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"),
+                                                               r["period"].alias("period"))))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("top", first).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"),
+        (-F.col("top.less")).alias("length"), F.col("top.period").alias("period"),
+        F.expr("(-1000 * top.less) div top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_piecewise_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradewind.llm import piecewise, succession
+
+    rows, begins = succession.in_order(documents(spark, sf_dir))
+    rows = succession.with_next(piecewise.fingerprints(rows), begins, ["text", "fingerprint"])
+    n = F.length("text")
+    third = F.floor(n / 3).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next.text"), F.lit(1), third))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fingerprint",
+                       F.col("next.fingerprint").alias("next_fingerprint"), "times")
+    rows = piecewise.fingerprints(rows, text="edited", into="edited_fingerprint")
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                       "edited_fingerprint", piecewise.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+                       piecewise.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+                       F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy")).drop("copy")
+
+
 QUERIES: dict[str, Query] = {
     "op4_kneser_ney": op4_kneser_ney,
     "op3_nn_descent": op3_nn_descent,
@@ -110,8 +170,12 @@ QUERIES: dict[str, Query] = {
     "op8_lpt_sharding": op8_lpt_sharding,
     "op7_secret_ledger": op7_secret_ledger,
     "op9_byte_bpe": op9_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_piecewise_fingerprint": op13_piecewise_fingerprint,
 }
 
+
 def _secrets_sql() -> str:
     """Spans by unnested gaps and matches, positions by running sums of their lengths."""
     from tradewind.llm import secret_ledger as sl
