@@ -56,8 +56,8 @@ def test_zero_month_streaks_and_signal(spark):
             orders.append(order(oid, 1, "delivered", mth + " 10:00:00"))
             items.append(item(oid, 1, 1, s, v))
     m = market(spark, orders=orders, order_items=items)
-    ts = churn.seller_timeseries_of(m)
-    streak = {r.seller_id: r.streak_length for r in churn.zero_month_streak(ts).collect()}
+    fold = churn.seller_fold(churn.seller_history_of(m))
+    streak = {r.seller_id: r.streak_length for r in churn.zero_month_streak(fold).collect()}
     assert streak == {1: 4, 2: 4, 3: 1}
     risk = {r.seller_id: r for r in churn.churn_risk(m).collect()}
     assert risk[1].consecutive_zero_months == 4 and risk[3].consecutive_zero_months == 1
@@ -70,8 +70,7 @@ def test_churn_streak_three_two_one(spark):
     m = market(spark,
                orders=[order(i, 1, "delivered", f"2020-0{i}-05 10:00:00") for i in range(1, 5)],
                order_items=[item(1, 1, 1, 1, 10), item(2, 1, 1, 1, 0), item(3, 1, 1, 1, 0), item(4, 1, 1, 1, 0)])
-    ts = churn.seller_timeseries_of(m)
-    assert churn.zero_month_streak(ts).first().streak_length == 4   # zeros + the preceding active month
+    assert churn.zero_month_streak(churn.seller_fold(churn.seller_history_of(m))).first().streak_length == 4   # zeros + the preceding active month
 
 
 def test_share_zero_base_is_stable_and_first_month_labels(spark):
@@ -143,14 +142,12 @@ def test_streaks_three_two_one_and_s3(spark):
             orders.append(order(oid, 1, "delivered", mth + " 10:00:00"))
             items.append(item(oid, 1, 1, s, v))
     m = market(spark, orders=orders, order_items=items)
-    streaks = churn.zero_month_streak(churn.seller_timeseries_of(m))
+    streaks = churn.zero_month_streak(churn.seller_fold(churn.seller_history_of(m)))
     assert {r.seller_id: r.streak_length for r in streaks.collect()} == {1: 3, 2: 2, 3: 1}
     # S3 alone: latest rows with no revenue signal and enough tenure
-    latest = spark.createDataFrame([(s, "SP", None, 5, None, 0.0, None, None, None) for s in (1, 2, 3)],
-                                   "seller_id long, seller_state string, cohort_month date, months_since_first_sale long, "
-                                   "latest_month date, latest_revenue double, prev_month_revenue double, "
-                                   "revenue_3m_ago double, rolling_6m_avg double")
-    scores = {r.seller_id: r.churn_risk_score for r in churn.churn_signals(latest, streaks).collect()}
+    state = "named_struct('last', DATE '2020-06-01', 'recent', array(CAST(0 AS DECIMAL(38,6))), 'streak', streak_length, 'zeros', 1)"
+    fold = streaks.selectExpr("seller_id", "'SP' AS seller_state", "DATE '2020-01-01' AS cohort_month", f"{state} AS s")
+    scores = {r.seller_id: r.churn_risk_score for r in churn.churn_signals(fold).collect()}
     assert scores == {1: 25.0, 2: 25.0, 3: 0.0}
 
 

@@ -25,6 +25,17 @@ def round_half_up(col: Column | str, places: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale) + F.lit(0.0)
 
 
+def known_mean(col: Column | str, over=None) -> Column:
+    """Mean of the known values of an exact column, in double: the exact sum over their count.
+
+    NULLs count neither above nor below the line; NULL if no value is known.  ``over`` is an
+    optional window."""
+    total, known = F.sum(_c(col)), F.count(_c(col))
+    if over is not None:
+        total, known = total.over(over), known.over(over)
+    return F.try_divide(total.cast("double"), known.cast("double"))
+
+
 def safe_int(col: Column | str) -> Column:
     """Text to integer the lenient way: '12.7' -> 13, '1e2' -> 100, junk -> NULL."""
     return F.round(_c(col).try_cast("double")).try_cast("int")

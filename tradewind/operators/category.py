@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.functions import category_label, round_half_up
+from tradewind.functions import category_label, known_mean, round_half_up
 from tradewind.operators.common import conform, scalar
 from tradewind.operators.seller import seller_category_day
 from tradewind.session import materialize
@@ -54,7 +54,8 @@ def daily_category_revenue(m: Marketplace, grain: DataFrame | None = None) -> Da
         F.sum("rev").alias("gross_revenue"),
         F.sum("n").alias("items_sold"),
         F.count(F.lit(1)).alias("active_sellers"),
-        round_half_up(F.sum("price").cast("double") / F.sum("n"), 2).alias("avg_item_price"))
+        round_half_up(F.try_divide(F.sum("price").cast("double"), F.sum("n_price").cast("double")), 2)
+         .alias("avg_item_price"))
 
 
 def monthly_category(daily: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def monthly_category(daily: DataFrame) -> DataFrame:
         F.sum("gross_revenue").alias("monthly_revenue"),
         F.sum("items_sold").alias("monthly_items"),
         F.max("active_sellers").alias("active_sellers"),
-        round_half_up(F.sum(exact_price).cast("double") / F.count(F.lit(1)), 2).alias("avg_item_price"))
+        round_half_up(known_mean(exact_price), 2).alias("avg_item_price"))
     return out.filter(F.add_months("month", 1) <= last)
 
 
@@ -82,7 +83,8 @@ def category_share(monthly: DataFrame, by=("seller_state", "month"), category="c
 
 
 def category_share_delta(share: DataFrame, by=("category_name_en", "seller_state")) -> DataFrame:
-    """Change of share against the previous *active* month, lifetime stats."""
+    """Change of share against the previous *active* month, lifetime stats (the mean over months of
+    known revenue)."""
     life = Window.partitionBy(*by)
     ordered = life.orderBy("month")
     prev = F.lag("revenue_share_pct", 1).over(ordered)
@@ -92,7 +94,7 @@ def category_share_delta(share: DataFrame, by=("category_name_en", "seller_state
         round_half_up(F.col("revenue_share_pct") - prev, 2).alias("share_delta_pp"),
         prev.alias("prev_month_share_pct"),
         n.alias("months_active"),
-        round_half_up(F.sum("monthly_revenue").over(life).cast("double") / n, 2).alias("avg_monthly_revenue"),
+        round_half_up(known_mean("monthly_revenue", life), 2).alias("avg_monthly_revenue"),
         round_half_up(F.max("monthly_revenue").over(life), 2).alias("peak_monthly_revenue"))
 
 

@@ -1,9 +1,9 @@
 """Seller churn-risk mart — SURVEY §2.J8-J14.
 
 Grain: one row per seller whose first sale is at least 3 months before their
-latest active month.  All windows are partitioned by seller over the monthly
-grain (a seller has at most one row per calendar month), and share one
-shuffle on ``seller_id``.
+latest active month.  Lags, rolling mean, streak and latest month come from one
+ordered fold over each seller's array of months, which holds at most one struct per
+calendar month and takes one shuffle on ``seller_id``.
 """
 
 from __future__ import annotations
@@ -46,12 +46,10 @@ CHURN_SIGNALS_SCHEMA = [
 CHURN_RISK_SCHEMA = [c for c in CHURN_SIGNALS_SCHEMA if c[0] not in ("revenue_3m_ago", "all_zeros_in_streak")] + [
     ("churn_risk_tier", "VARCHAR"), ("recommended_action", "VARCHAR")]
 
-def _by_seller() -> Window:
-    return Window.partitionBy("seller_id")
-
-
-def _in_order() -> Window:
-    return _by_seller().orderBy("year_month")
+# Exact sums of money.
+SUM = "decimal(38,6)"
+#: Months of the rolling mean; the months that the fold keeps (LAG 3 needs four).
+ROLLING = 6
 
 
 def seller_monthly(m: Marketplace) -> DataFrame:
@@ -69,44 +67,85 @@ def seller_monthly(m: Marketplace) -> DataFrame:
 def seller_cohort(monthly: DataFrame, sellers: DataFrame) -> DataFrame:
     """Cohort month (first active month) and months since it (boundary count)."""
     x = monthly.join(sellers.select("seller_id", "seller_state"), "seller_id")
-    cohort = F.min("year_month").over(_by_seller())
+    cohort = F.min("year_month").over(Window.partitionBy("seller_id"))
     return (x.withColumn("cohort_month", cohort)
              .withColumn("months_since_first_sale", month_index_diff("cohort_month", "year_month")))
 
 
-def seller_timeseries(cohort: DataFrame) -> DataFrame:
+def seller_history(monthly: DataFrame, sellers: DataFrame) -> DataFrame:
+    """One row per seller: state, cohort month and the seller's ``months`` in order.
+
+    The one exchange after ``seller_monthly``; everything up to the score is computed from this row.
+    An array holds a struct per calendar month with sales, so its size is bounded by the calendar."""
+    months = monthly.groupBy("seller_id").agg(
+        F.array_sort(F.collect_list(F.struct("year_month", "gross_revenue", "orders"))).alias("months"))
+    return (months.join(sellers.select("seller_id", "seller_state"), "seller_id")
+                  .withColumn("cohort_month", F.array_min("months.year_month")))
+
+
+def _mean(amounts: Column) -> Column:
+    """Mean of the known amounts of an array; NULL if none is known."""
+    known = F.filter(amounts, lambda v: v.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast(SUM), lambda acc, v: (acc + v).cast(SUM))
+    return F.try_divide(total.cast("double"), F.size(known).cast("double"))
+
+
+def seller_timeseries(history: DataFrame) -> DataFrame:
     """Previous *active* month, 3 active months ago, 6-row rolling mean, zero flags."""
-    six = _in_order().rowsBetween(-5, Window.currentRow)
-    upto = _in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    zero = F.when(F.col("gross_revenue") == 0, 1).otherwise(0)
-    return cohort.select(
-        "*",
-        F.lag("gross_revenue", 1).over(_in_order()).alias("prev_month_revenue"),
-        F.lag("gross_revenue", 3).over(_in_order()).alias("revenue_3m_ago"),
-        (F.sum("gross_revenue").over(six).cast("double") / F.count(F.lit(1)).over(six)).alias("rolling_6m_avg"),
-        zero.alias("is_zero_month"),
-        F.sum(zero).over(upto).alias("cumulative_zero_months"))
-
-
-def zero_month_streak(ts: DataFrame) -> DataFrame:
-    """Gap-and-island — rows of the seller's last activity group."""
-    grp = F.row_number().over(_in_order()) - F.col("cumulative_zero_months")
-    x = ts.select("seller_id", "year_month", "is_zero_month", grp.alias("grp"))
-    last = x.withColumn("top", F.max("grp").over(_by_seller())).filter(F.col("grp") == F.col("top"))
-    return last.groupBy("seller_id").agg(
-        F.max("year_month").alias("last_seen_month"), F.count(F.lit(1)).alias("streak_length"),
-        F.min("is_zero_month").alias("all_zeros_in_streak"))
-
-
-def latest_month(ts: DataFrame) -> DataFrame:
-    """Each seller's newest month — an aggregate (max_by), not a sort."""
-    row = F.struct("gross_revenue", "prev_month_revenue", "revenue_3m_ago", "rolling_6m_avg",
-                   "months_since_first_sale", "cohort_month", "seller_state")
-    x = ts.groupBy("seller_id").agg(F.max("year_month").alias("latest_month"),
-                                     F.max_by(row, "year_month").alias("r"))
-    return x.select("seller_id", "latest_month", F.col("r.gross_revenue").alias("latest_revenue"),
-                    "r.prev_month_revenue", "r.revenue_3m_ago", "r.rolling_6m_avg", "r.months_since_first_sale",
-                    "r.cohort_month", "r.seller_state")
+    months = F.col("months")
+
+    def derived(x: Column, i: Column) -> Column:
+        before = lambda k: F.get(months, i - k)["gross_revenue"]
+        six = F.slice(months, F.greatest(i - (ROLLING - 2), F.lit(1)), F.least(i + 1, F.lit(ROLLING)))
+        upto = F.slice(months, F.lit(1), i + 1)
+        return F.struct(
+            x["year_month"].alias("year_month"), x["gross_revenue"].alias("gross_revenue"), x["orders"].alias("orders"),
+            before(1).alias("prev_month_revenue"), before(3).alias("revenue_3m_ago"),
+            _mean(F.transform(six, lambda s: s["gross_revenue"].cast(SUM))).alias("rolling_6m_avg"),
+            F.when(x["gross_revenue"] == 0, 1).otherwise(0).alias("is_zero_month"),
+            F.size(F.filter(upto, lambda s: s["gross_revenue"] == 0)).alias("cumulative_zero_months"))
+
+    rows = history.select("seller_id", "seller_state", "cohort_month", F.inline(F.transform(months, derived)))
+    return rows.withColumn("months_since_first_sale", month_index_diff("cohort_month", "year_month"))
+
+
+def seller_fold(history: DataFrame) -> DataFrame:
+    """J11 and J12 at once: one ordered pass over each seller's months.
+
+    The state holds the last month, the last six revenues, the length of the stretch of months
+    from the last one with revenue on (all of them, if there is none) and whether it is all zeros."""
+    start = F.struct(F.lit(None).cast("date").alias("last"), F.array().cast(f"array<{SUM}>").alias("recent"),
+                     F.lit(0).alias("streak"), F.lit(1).alias("zeros"))
+
+    def step(acc: Column, x: Column) -> Column:
+        zero = F.coalesce(x["gross_revenue"] == 0, F.lit(False))
+        seen = F.concat(acc["recent"], F.array(x["gross_revenue"].cast(SUM)))
+        return F.struct(x["year_month"].alias("last"),
+                        F.slice(seen, F.greatest(F.size(seen) - (ROLLING - 1), F.lit(1)), F.lit(ROLLING)).alias("recent"),
+                        F.when(zero, acc["streak"] + 1).otherwise(F.lit(1)).alias("streak"),
+                        F.when(zero, acc["zeros"]).otherwise(F.lit(0)).alias("zeros"))
+
+    return history.select("seller_id", "seller_state", "cohort_month", F.aggregate("months", start, step).alias("s"))
+
+
+def zero_month_streak(fold: DataFrame) -> DataFrame:
+    """Gap-and-island — the months since each seller's last month with revenue, that month included."""
+    return fold.select("seller_id", F.col("s.last").alias("last_seen_month"), F.col("s.streak").alias("streak_length"),
+                       F.col("s.zeros").alias("all_zeros_in_streak"))
+
+
+def _latest() -> list[Column]:
+    back = lambda k: F.try_element_at(F.col("s.recent"), F.lit(-1 - k))
+    return [F.col("seller_id"), F.col("s.last").alias("latest_month"), back(0).alias("latest_revenue"),
+            back(1).alias("prev_month_revenue"), back(3).alias("revenue_3m_ago"),
+            _mean(F.col("s.recent")).alias("rolling_6m_avg"),
+            month_index_diff("cohort_month", "s.last").alias("months_since_first_sale"),
+            F.col("cohort_month"), F.col("seller_state")]
+
+
+def latest_month(fold: DataFrame) -> DataFrame:
+    """Each seller's newest month with its lags and rolling mean."""
+    return fold.select(*_latest())
 
 
 def _capped(x: Column) -> Column:
@@ -117,9 +156,12 @@ def _drop_signal(base: Column, latest: Column) -> Column:
     return _capped(F.when(base > 0, (base - latest) / base * SIGNAL_CAP).otherwise(F.lit(0)))
 
 
-def churn_signals(latest: DataFrame, streaks: DataFrame) -> DataFrame:
-    """Four capped signals (0-25 each) summed into a 0-100 score."""
-    x = latest.join(streaks, "seller_id", "left").filter(F.col("months_since_first_sale") >= MIN_TENURE_MONTHS)
+def churn_signals(fold: DataFrame) -> DataFrame:
+    """Four capped signals (0-25 each) summed into a 0-100 score.
+
+    As in SQL, ``LEAST(25, NULL)`` is 25: an unknown latest revenue against a known base counts as a full drop."""
+    x = fold.select(*_latest(), F.col("s.streak").alias("streak_length"), F.col("s.zeros").alias("all_zeros_in_streak")) \
+        .filter(F.col("months_since_first_sale") >= MIN_TENURE_MONTHS)
     cur = F.col("latest_revenue").cast("double")
     prev = F.col("prev_month_revenue").cast("double")
     ago3 = F.col("revenue_3m_ago").cast("double")
@@ -150,14 +192,13 @@ def risk_tier(score: Column) -> tuple[Column, Column]:
     return tier, action
 
 
-def seller_timeseries_of(m: Marketplace) -> DataFrame:
-    return seller_timeseries(seller_cohort(seller_monthly(m), m.sellers))
+def seller_history_of(m: Marketplace) -> DataFrame:
+    return seller_history(seller_monthly(m), m.sellers)
 
 
 def churn_risk(m: Marketplace, sort: bool = True) -> DataFrame:
     """The at-risk seller list with tier and recommended action."""
-    ts = seller_timeseries_of(m)
-    signals = churn_signals(latest_month(ts), zero_month_streak(ts))
+    signals = churn_signals(seller_fold(seller_history_of(m)))
     tier, action = risk_tier(F.col("churn_risk_score"))
     out = conform(signals.withColumn("churn_risk_tier", tier).withColumn("recommended_action", action),
                   CHURN_RISK_SCHEMA)

@@ -7,7 +7,7 @@ co-partitioned inputs without further shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import hour_boundary_diff, round_half_up, to_month
@@ -91,69 +91,73 @@ def order_revenue(items: DataFrame) -> DataFrame:
 
 
 def paid_orders(m: Marketplace) -> DataFrame:
-    """Valid orders joined to their revenue (orders without items drop out)."""
+    """Valid orders joined to their revenue, one row per order (orders without items drop out)."""
     return delivery_metrics(m).join(order_revenue(m.order_items), "order_id")
 
 
-def person_revenue(paid: DataFrame) -> DataFrame:
-    return paid.groupBy(PERSON).agg(F.sum("order_revenue").alias("total_revenue"))
-
-
-def revenue_percentiles(paid: DataFrame) -> DataFrame:
+def person_figures(paid: DataFrame) -> DataFrame:
+    """All per-person figures of paid orders (one row per order) from two stacked aggregates, with no distinct count.
+
+    The (person, day) grain comes first, combined map-side, so a heavy buyer's orders shrink
+    to one row per calendar day; a person's days, sorted, then give the second purchase."""
+    delivered = F.col("delivery_days").isNotNull()
+    days = paid.groupBy(PERSON, "order_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("order_revenue").alias("rev"), F.count("order_revenue").alias("n_rev"),
+        F.count("delivery_days").alias("delivered"), F.sum(F.when(delivered, F.col("on_time"))).alias("on_time"),
+        F.sum("delivery_days").alias("wait"), F.min("delivery_days").alias("wait_min"),
+        F.max("delivery_days").alias("wait_max"))
+    day = F.when(F.col("order_date").isNotNull(), F.struct("order_date", "n"))
+    x = days.groupBy(PERSON).agg(
+        F.sum("n").alias("orders"), F.sum("rev").alias("rev"), F.sum("n_rev").alias("n_rev"),
+        F.min("order_date").alias("first_purchase_date"), F.max("order_date").alias("last_purchase_date"),
+        F.slice(F.array_sort(F.collect_list(day)), 1, 2).alias("first_days"),
+        F.sum("delivered").alias("delivered"), F.sum("on_time").alias("on_time"), F.sum("wait").alias("wait"),
+        F.min("wait_min").alias("wait_min"), F.max("wait_max").alias("wait_max"))
+    first, second = F.get("first_days", F.lit(0)), F.get("first_days", F.lit(1))
+    return x.withColumn("second_purchase_date", F.when(first["n"] >= 2, first["order_date"]).otherwise(second["order_date"])) \
+        .drop("first_days")
+
+
+def revenue_percentiles(figures: DataFrame) -> DataFrame:
     """Exact 80th and 50th percentile (continuous) of revenue per person."""
-    return percentiles_cont(person_revenue(paid), "total_revenue", {"p80": P_HIGH, "p50": P_MID}, tie=PERSON)
+    return percentiles_cont(figures, "rev", {"p80": P_HIGH, "p50": P_MID})
 
 
-def second_purchase(paid: DataFrame) -> DataFrame:
-    """Date of each person's second paid order (same day counts).
-
-    Counted on the (person, day) grain: a window there holds at most one row
-    per calendar day of a person, however many orders a heavy buyer places.
-    """
-    per_day = paid.groupBy(PERSON, "order_date").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy(PERSON).orderBy("order_date").rowsBetween(Window.unboundedPreceding, 0)
-    return (per_day.withColumn("cum", F.sum("n").over(upto))
-                   .filter(F.col("cum") >= 2)
-                   .groupBy(PERSON).agg(F.min("order_date").alias("second_purchase_date")))
+def second_purchase(figures: DataFrame) -> DataFrame:
+    """Date of each person's second paid order (same day counts)."""
+    return figures.select(PERSON, "second_purchase_date").filter(F.col("second_purchase_date").isNotNull())
 
 
-def customer_delivery(paid: DataFrame) -> DataFrame:
+def customer_delivery(figures: DataFrame) -> DataFrame:
     """Delivered orders, on-time count and delivery-day stats per person."""
-    x = paid.filter(F.col("delivery_days").isNotNull())
-    return x.groupBy(PERSON).agg(
-        F.count(F.lit(1)).alias("delivered_orders"), F.sum("on_time").alias("on_time_orders"),
-        round_half_up(F.sum("delivery_days").cast("double") / F.count(F.lit(1)), 1).alias("avg_delivery_days"),
-        F.min("delivery_days").alias("min_delivery_days"), F.max("delivery_days").alias("max_delivery_days"))
+    return figures.filter(F.col("delivered") > 0).select(
+        PERSON, F.col("delivered").alias("delivered_orders"), F.col("on_time").alias("on_time_orders"),
+        round_half_up(F.try_divide(F.col("wait").cast("double"), F.col("delivered").cast("double")), 1).alias("avg_delivery_days"),
+        F.col("wait_min").alias("min_delivery_days"), F.col("wait_max").alias("max_delivery_days"))
 
 
-def customer_summary(paid: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
-    """Orders, revenue, average order value, value tier and cohort per person."""
-    thresholds = thresholds if thresholds is not None else revenue_percentiles(paid)
+def customer_summary(figures: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
+    """Orders, revenue, average order value (over orders of known revenue), value tier and cohort per person."""
+    thresholds = thresholds if thresholds is not None else revenue_percentiles(figures)
     p80 = scalar(thresholds, F.max("p80"))
     p50 = scalar(thresholds, F.max("p50"))
-    s = paid.groupBy(PERSON).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("order_revenue").alias("rev"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("order_date").alias("first_purchase_date"),
-        F.max("order_date").alias("last_purchase_date"))
     total = round_half_up(F.col("rev"), 2)
     tier = F.when(total >= p80, TIER_HIGH).when(total >= p50, TIER_MID).otherwise(TIER_LOW)
-    return s.select(PERSON, "total_orders", total.alias("total_revenue"),
-                    round_half_up(F.col("rev").cast("double") / F.col("n"), 2).alias("avg_order_value"),
-                    tier.alias("revenue_tier"), "first_purchase_date", "last_purchase_date",
-                    to_month("first_purchase_date").alias("cohort_month"))
+    return figures.select(PERSON, F.col("orders").alias("total_orders"), total.alias("total_revenue"),
+                          round_half_up(F.try_divide(F.col("rev").cast("double"), F.col("n_rev").cast("double")), 2)
+                          .alias("avg_order_value"),
+                          tier.alias("revenue_tier"), "first_purchase_date", "last_purchase_date",
+                          to_month("first_purchase_date").alias("cohort_month"))
 
 
 def customer_and_delivery(m: Marketplace, sort: bool = True) -> DataFrame:
     """Every person, with purchase, revenue, delivery and cancellation columns."""
-    # Paid orders feed the percentile job and four per-person aggregates: one
-    # materialisation in the checkpoint folder instead of re-scanning the items for each.
-    paid = materialize(paid_orders(m), "paid-orders")
+    # Paid orders are read once; the figures, a row per person, feed the percentiles and the mart.
+    figures = materialize(person_figures(paid_orders(m)), "person-figures")
     out = (all_customers(m.customers)
-           .join(customer_summary(paid), PERSON, "left")
-           .join(second_purchase(paid), PERSON, "left")
-           .join(customer_delivery(paid), PERSON, "left")
+           .join(customer_summary(figures), PERSON, "left")
+           .join(second_purchase(figures), PERSON, "left")
+           .join(customer_delivery(figures), PERSON, "left")
            .join(order_counts(m), PERSON, "left"))
     orders = F.coalesce("total_orders", F.lit(0))
     out = out.select(

@@ -163,7 +163,7 @@ def seller_quadrants(profile: DataFrame) -> DataFrame:
     splits at the exact median of last-30-day revenue; growth is MoM % > 0, or
     growing from zero (NULL % with revenue in the last 30 days)."""
     active = profile.filter(F.col("revenue_90d").isNotNull())
-    median = scalar(percentiles_cont(active, "revenue_l30d", {"p50": 0.5}, tie="seller_id"), F.max("p50"))
+    median = scalar(percentiles_cont(active, "revenue_l30d", {"p50": 0.5}), F.max("p50"))
     growing = (F.col("mom_growth_pct") > 0) | (F.col("mom_growth_pct").isNull() & (F.col("revenue_l30d") > 0))
     quad = F.concat(F.when(F.col("revenue_l30d") >= median, "Large").otherwise("Small"), F.lit(" & "),
                     F.when(growing, "Growing").otherwise("Declining"))

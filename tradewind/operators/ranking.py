@@ -18,6 +18,10 @@ with work spread over all partitions, on built-in expressions alone:
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,32 +90,66 @@ def ntile(pos: Column, n: Column, buckets: int) -> Column:
              .otherwise(r + F.floor((pos - big - 1) / F.when(q > 0, q)) + 1)).cast("bigint")
 
 
-def percentiles_cont(df: DataFrame, value: str, fractions: dict[str, float], tie: str | None = None) -> DataFrame:
+#: Buckets that a range of values is cut into; values of a range that are fetched as they are.
+BUCKETS, FEW = 1024, 2000
+
+
+def percentiles_cont(df: DataFrame, value: str, fractions: dict[str, float]) -> DataFrame:
     """Exact PERCENTILE_CONT for each fraction, as a one-row DataFrame.
 
-    Uses the global positions above instead of an aggregate that buffers every
-    value of the column in one task.  Linear interpolation between the values
-    at the floor and ceiling positions, as the SQL standard defines it.
+    Selection instead of sorting: the positions that are needed (two per fraction) are
+    narrowed down by counting.  Each pass counts the values of the ranges that still hold a
+    wanted position in ``BUCKETS`` parts of equal width, with the least and the largest value of
+    each; a range ends when both are equal, however many rows share that value, or
+    when so few values are left that they can be fetched.  A pass is one aggregate
+    over the column, combined map-side; counts per bucket and at most ``FEW`` values per
+    position reach the driver.  Linear interpolation between the values at the floor and
+    ceiling positions, as the SQL standard defines it; NULL values are skipped.
     """
-    tie = tie or value
-    pos = global_positions(df.select(F.col(value).cast("double").alias("_v"), F.col(tie).alias("_t"))
-                             .filter(F.col("_v").isNotNull()),
-                           "_v", "_t", descending=False, keep_tie=False, rank=False)
-    n = F.col(COUNT)
-    cols = []
-    for name, p in fractions.items():
-        rn = F.lit(p) * (n - 1).cast("double")
-        lo = F.floor(rn) + 1
-        hi = F.ceil(rn) + 1
-        frac = rn - F.floor(rn)
-        lo_v = F.max(F.when(F.col(POS) == lo, F.col("_v")))
-        hi_v = F.max(F.when(F.col(POS) == hi, F.col("_v")))
-        cols.append(F.when(F.first(lo) == F.first(hi), lo_v)
-                     .otherwise(lo_v + (hi_v - lo_v) * F.first(frac)).alias(name))
-    # Only the two rows per fraction are kept before the (global, tiny) aggregate.
-    wanted = None
-    for p in fractions.values():
-        rn = F.lit(p) * (n - 1).cast("double")
-        cond = (F.col(POS) == F.floor(rn) + 1) | (F.col(POS) == F.ceil(rn) + 1)
-        wanted = cond if wanted is None else wanted | cond
-    return pos.filter(wanted).agg(*cols)
+    spark = df.sparkSession
+    values = materialize(df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull()), "percentile-values")
+    n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    schema = ", ".join(f"{name} double" for name in fractions)
+    if not n:
+        return spark.createDataFrame([(None,) * len(fractions)], schema)
+    places = {name: p * float(n - 1) for name, p in fractions.items()}
+    wanted = sorted({int(f(rn)) for rn in places.values() for f in (math.floor, math.ceil)})
+    found: dict[int, float] = {}
+    ranges = [(low, high, 0, n, wanted)]            # least and largest value, rows before, rows, positions
+    while ranges:
+        found.update({i: lo for lo, hi, _, _, at in ranges if lo == hi for i in at})
+        ranges = [r for r in ranges if r[0] < r[1]]
+        few = [r for r in ranges if r[3] <= FEW]
+        if few:
+            inside = functools.reduce(operator.or_, [F.col("v").between(lo, hi) for lo, hi, *_ in few])
+            fetched = sorted(r["v"] for r in values.filter(inside).collect())
+            for lo, hi, before, _, at in few:
+                own = [v for v in fetched if lo <= v <= hi]
+                found.update({i: own[i - before] for i in at})
+        ranges = _narrowed(values, [r for r in ranges if r[3] > FEW])
+    row = []
+    for rn in places.values():
+        lo, hi = found[math.floor(rn)], found[math.ceil(rn)]
+        row.append(lo if math.floor(rn) == math.ceil(rn) else lo + (hi - lo) * (rn - math.floor(rn)))
+    return spark.createDataFrame([tuple(row)], schema)
+
+
+def _narrowed(values: DataFrame, ranges: list[tuple]) -> list[tuple]:
+    """The buckets of ``ranges`` that hold wanted positions, as ranges."""
+    if not ranges:
+        return []
+    v, part = F.col("v"), None
+    for j, (lo, hi, *_) in enumerate(ranges):
+        bucket = F.least(F.width_bucket(v, F.lit(lo), F.lit(hi), F.lit(BUCKETS)), F.lit(BUCKETS)) + j * (BUCKETS + 1)
+        inside = v.between(lo, hi)
+        part = F.when(inside, bucket) if part is None else part.when(inside, bucket)
+    counted = values.select(part.alias("b"), "v").filter(F.col("b").isNotNull()).groupBy("b") \
+        .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    out, before = [], {j: r[2] for j, r in enumerate(ranges)}
+    for r in sorted(counted, key=lambda r: r["b"]):
+        j = r["b"] // (BUCKETS + 1)
+        begin, before[j] = before[j], before[j] + r["n"]
+        at = [i for i in ranges[j][4] if begin <= i < begin + r["n"]]
+        if at:
+            out.append((r["lo"], r["hi"], begin, r["n"], at))
+    return out

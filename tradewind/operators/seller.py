@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions import category_label, round_half_up
+from tradewind.functions import category_label, known_mean, round_half_up
 from tradewind.operators.common import conform, item_revenue, mode_of, scalar, valid_orders, with_category
 from tradewind.operators.ranking import COUNT, POS, RANK, RUN, TOTAL, global_positions, ntile
 from tradewind.operators.staging import MONEY
@@ -34,13 +34,14 @@ def sold_items(m: Marketplace) -> DataFrame:
 
 
 def seller_category_day(m: Marketplace) -> DataFrame:
-    """(seller, category, day) -> revenue, price sum and item count: the grain that the
-    seller and category marts share.  A hot seller is combined map-side here,
+    """(seller, category, day) -> revenue, price sum, item count and count of known prices: the
+    grain that the seller and category marts share.  A hot seller is combined map-side here,
     before it meets any other join."""
     items = (with_category(sold_items(m), m.products, m.category_translation)
              .select("seller_id", "order_date", "category", "price", item_revenue().alias("rev")))
     return items.groupBy("seller_id", "order_date", "category").agg(
-        F.sum("rev").alias("rev"), F.sum("price").alias("price"), F.count(F.lit(1)).alias("n"))
+        F.sum("rev").alias("rev"), F.sum("price").alias("price"), F.count(F.lit(1)).alias("n"),
+        F.count("price").alias("n_price"))
 
 
 def daily_seller_revenue(m: Marketplace) -> DataFrame:
@@ -165,11 +166,10 @@ def filter_valid_orders(m: Marketplace) -> DataFrame:
 
 
 def order_value_stats(m: Marketplace) -> DataFrame:
-    """Per seller, mean item price, freight and revenue (double, rounded to cents)."""
-    n = F.count(F.lit(1))
-
+    """Per seller, mean item price, freight and revenue (double, rounded to cents), each over
+    the items for which it is known."""
     def mean(c):
-        return round_half_up(F.sum(c).cast("double") / n, 2)
+        return round_half_up(known_mean(c), 2)
     return sold_items(m).groupBy("seller_id").agg(
-        n.alias("items"), mean(F.col("price")).alias("avg_item_price"),
+        F.count(F.lit(1)).alias("items"), mean(F.col("price")).alias("avg_item_price"),
         mean(F.col("freight_value")).alias("avg_freight_value"), mean(item_revenue()).alias("avg_item_revenue"))

@@ -33,6 +33,11 @@ def d(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
+def mean(x: str, rows: str = "") -> str:
+    """AVG(x) by its definition: over the known values alone, and exact up to the division."""
+    return f"CAST(SUM({x}) {rows} AS DOUBLE) / COUNT({x}) {rows}"
+
+
 def conform(schema: list[tuple[str, str]], src: str, order: str = "") -> str:
     cols = ", ".join(c if t == "KEY" else f"CAST({c} AS {t}) AS {c}" for c, t in schema)
     return f"SELECT {cols} FROM {src}" + (f" ORDER BY {order}" if order else "")

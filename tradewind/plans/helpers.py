@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.functions import round_half_up, title_case, to_month
+from tradewind.functions import known_mean, round_half_up, title_case, to_month
 from tradewind.operators.common import conform
 from tradewind.sources.tables import Marketplace
 from tradewind.sources.testdata import ParquetTables, raw_customers, raw_sellers
@@ -26,7 +26,7 @@ def rounding_probe(m: Marketplace) -> DataFrame:
     """I8: mean item price per (seller, purchase month) rounded to 1 and 2 places."""
     x = m.order_items.join(m.orders.select("order_id", to_month("order_purchase_timestamp").alias("month")),
                            "order_id")
-    mean = F.sum("price").cast("double") / F.count(F.lit(1))
+    mean = known_mean("price")
     out = x.groupBy("seller_id", "month").agg(round_half_up(mean, 1).alias("avg_price_1"),
                                               round_half_up(mean, 2).alias("avg_price_2"))
     return conform(out, ROUNDING_SCHEMA)

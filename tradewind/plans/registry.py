@@ -16,6 +16,7 @@ from tradewind.operators import churn, customer, measures, quality, seller, stag
 from tradewind.operators.common import conform
 from tradewind.operators.staging import dedup_geolocation
 from tradewind.plans import helpers
+from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 from tradewind.sources.testdata import load_testdata
 
@@ -32,11 +33,15 @@ def _staged(fn: Callable[[Marketplace], DataFrame], **variant: bool) -> Query:
 
 
 def _ts(m: Marketplace) -> DataFrame:
-    return churn.seller_timeseries_of(m)
+    return churn.seller_timeseries(churn.seller_history_of(m))
 
 
-def _paid(m: Marketplace) -> DataFrame:
-    return customer.paid_orders(m)
+def _fold(m: Marketplace) -> DataFrame:
+    return churn.seller_fold(churn.seller_history_of(m))
+
+
+def _figures(m: Marketplace) -> DataFrame:
+    return materialize(customer.person_figures(customer.paid_orders(m)), "person-figures")
 
 
 REGISTRY: dict[str, Query] = {
@@ -48,14 +53,13 @@ REGISTRY: dict[str, Query] = {
     "seller_cohort": _staged(lambda m: conform(churn.seller_cohort(churn.seller_monthly(m), m.sellers),
                                                churn.SELLER_COHORT_SCHEMA)),
     "seller_timeseries": _staged(lambda m: conform(_ts(m), churn.SELLER_TIMESERIES_SCHEMA)),
-    "zero_month_streak": _staged(lambda m: conform(churn.zero_month_streak(_ts(m)), churn.ZERO_STREAK_SCHEMA),
+    "zero_month_streak": _staged(lambda m: conform(churn.zero_month_streak(_fold(m)), churn.ZERO_STREAK_SCHEMA),
                                  zero_months=True),
-    "latest_month": _staged(lambda m: conform(churn.latest_month(_ts(m)), churn.LATEST_MONTH_SCHEMA)),
-    "churn_signals": _staged(lambda m: conform(
-        churn.churn_signals(churn.latest_month(_ts(m)), churn.zero_month_streak(_ts(m))),
-        churn.CHURN_SIGNALS_SCHEMA)),
+    "latest_month": _staged(lambda m: conform(churn.latest_month(_fold(m)), churn.LATEST_MONTH_SCHEMA)),
+    "churn_signals": _staged(lambda m: conform(churn.churn_signals(_fold(m)), churn.CHURN_SIGNALS_SCHEMA)),
     "churn_risk": _staged(churn.churn_risk),
     "churn_risk_zero_months": _staged(churn.churn_risk, zero_months=True),
+    "churn_risk_odd_money": _staged(churn.churn_risk, odd_money=True),
     # category analysis
     "daily_category_revenue": _staged(lambda m: conform(cat.daily_category_revenue(m), cat.DAILY_CATEGORY_SCHEMA)),
     "monthly_category": _staged(lambda m: conform(cat.monthly_category(cat.daily_category_revenue(m)),
@@ -64,21 +68,23 @@ REGISTRY: dict[str, Query] = {
         cat.category_share(cat.monthly_category(cat.daily_category_revenue(m))), cat.CATEGORY_SHARE_SCHEMA)),
     "category_share_delta": _staged(lambda m: conform(cat.category_deltas_of(m), cat.CATEGORY_DELTA_SCHEMA)),
     "category_analysis": _staged(cat.category_analysis),
+    "category_analysis_odd_money": _staged(cat.category_analysis, odd_money=True),
     # customer & delivery
     "all_customers": _staged(lambda m: conform(customer.all_customers(m.customers), customer.ALL_CUSTOMERS_SCHEMA)),
     "delivery_metrics": _staged(lambda m: conform(customer.delivery_metrics(m), customer.DELIVERY_METRICS_SCHEMA)),
     "incomplete_orders": _staged(lambda m: conform(customer.order_counts(m), customer.ORDER_COUNTS_SCHEMA)),
     "order_revenue": _staged(lambda m: conform(customer.order_revenue(m.order_items),
                                                customer.ORDER_REVENUE_SCHEMA)),
-    "revenue_percentiles": _staged(lambda m: conform(customer.revenue_percentiles(_paid(m)),
+    "revenue_percentiles": _staged(lambda m: conform(customer.revenue_percentiles(_figures(m)),
                                                      customer.PERCENTILES_SCHEMA)),
-    "second_purchase": _staged(lambda m: conform(customer.second_purchase(_paid(m)),
+    "second_purchase": _staged(lambda m: conform(customer.second_purchase(_figures(m)),
                                                  customer.SECOND_PURCHASE_SCHEMA)),
-    "customer_delivery": _staged(lambda m: conform(customer.customer_delivery(_paid(m)),
+    "customer_delivery": _staged(lambda m: conform(customer.customer_delivery(_figures(m)),
                                                    customer.CUSTOMER_DELIVERY_SCHEMA)),
-    "customer_summary": _staged(lambda m: conform(customer.customer_summary(_paid(m)),
+    "customer_summary": _staged(lambda m: conform(customer.customer_summary(_figures(m)),
                                                   customer.CUSTOMER_SUMMARY_SCHEMA)),
     "customer_and_delivery": _staged(customer.customer_and_delivery),
+    "customer_and_delivery_odd_money": _staged(customer.customer_and_delivery, odd_money=True),
     # star schema
     "payments_deduped": _staged(lambda m: conform(star.payments_deduped(m.order_payments),
                                                   star.PAYMENTS_DEDUPED_SCHEMA)),
@@ -121,6 +127,8 @@ REGISTRY.update({
     "seller_top_category": _staged(lambda m: conform(seller.seller_periods(seller.trailing_90d(_daily(m))),
                                                      seller.TOP_CATEGORY_SCHEMA)),
     "order_value_stats": _staged(lambda m: conform(seller.order_value_stats(m), seller.ORDER_VALUE_STATS_SCHEMA)),
+    "order_value_stats_odd_money": _staged(lambda m: conform(seller.order_value_stats(m), seller.ORDER_VALUE_STATS_SCHEMA),
+                                           odd_money=True),
     "on_time_flag": _staged(lambda m: m.orders.select("order_id", (customer.on_time_flag() == 1)
                                                       .alias("delivered_on_time"))),
     "round_half_up": _staged(helpers.rounding_probe),
