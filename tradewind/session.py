@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -73,17 +74,26 @@ def materialize(df, label: str = "stage"):
     twice: once to count, once to save), the files are columnar and survive the
     loss of any executor, and later reads are vectorised scans.
     """
-    import uuid
-
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tradewind-{label}-{uuid.uuid4().hex}"
-    for scope in _SCOPES:
-        scope.append(path)
+    path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared checkpoint folder, which enclosing ``intermediates`` blocks delete."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tradewind-{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` through the Hadoop file system API, so on whatever storage it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 _SCOPES: list[list[str]] = []
 
 
@@ -91,8 +101,7 @@ _SCOPES: list[list[str]] = []
 def intermediates(spark: SparkSession) -> Iterator[list[str]]:
     """Delete what ``materialize`` writes inside the block when the block ends, also by a failure.
 
-    Results must have been written elsewhere by then.  Deletion goes through the
-    Hadoop file system API, so it reaches whatever storage the folder is on.
+    Results must have been written elsewhere by then; a path taken off the yielded list stays.
     """
     written: list[str] = []
     _SCOPES.append(written)
@@ -101,5 +110,4 @@ def intermediates(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _SCOPES.remove(written)
         for path in written:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            remove(spark, path)
