@@ -7,11 +7,10 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tradewind.session import materialize
 
-__all__ = ["documents", "materialize", "remainder", "batches_of", "compressed", "keep_rows", "shared_path",
+__all__ = ["documents", "materialize", "remainder", "batches_of", "compressed_batches", "keep_rows", "shared_path",
            "shuffle_partitions"]
 
 
@@ -60,20 +59,15 @@ def keep_rows(df: DataFrame, text: str, keep: Callable[[], Callable[[list], Sequ
     return df.mapInArrow(run, df.schema)
 
 
-def compressed(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with column ``text`` as Zstandard frames of its UTF-8 bytes, for a shuffle that moves whole texts; narrow."""
+def compressed_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches whose column ``text`` holds Zstandard frames of the UTF-8 bytes."""
     import zstandard
 
-    schema = StructType([StructField(f.name, BinaryType()) if f.name == text else f for f in df.schema.fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            at = b.schema.get_field_index(text)
-            own = [None if t is None else packer.compress(t.encode()) for t in b.column(at).to_pylist()]
-            yield b.set_column(at, pa.field(text, pa.binary()), pa.array(own, pa.binary()))
-
-    return df.mapInArrow(run, schema)
+    packer = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        at = b.schema.get_field_index(text)
+        own = [None if t.as_py() is None else packer.compress(t.as_py().encode()) for t in b.column(at)]
+        yield b.set_column(at, pa.field(text, pa.binary()), pa.array(own, pa.binary()))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -82,7 +76,5 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
-    import uuid
-
-    from tradewind.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tradewind-{label}-{uuid.uuid4().hex}"
+    from tradewind.session import scratch_path
+    return scratch_path(spark, label)

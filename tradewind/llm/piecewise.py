@@ -27,7 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+
+from tradewind.llm.common import compressed_batches
 
 #: Bytes that the rolling hash sees; smallest block size; signs that a fingerprint has at most.
 WINDOW, SMALLEST, SIGNS = 7, 3, 64
@@ -102,21 +104,30 @@ def fingerprint_of(data: bytes) -> str:
     return f"{block}:{_signs(view, ends)}:{_signs(view, ends[coarser(2 * block)])}"
 
 
-def fingerprints(df: DataFrame, text: str = "text", into: str = "fingerprint") -> DataFrame:
-    """``df`` with the fingerprint of ``text`` in column ``into``, which it replaces if it is there; narrow."""
+def with_fingerprints(batches: Iterator[pa.RecordBatch], text: str, into: str) -> Iterator[pa.RecordBatch]:
+    """Batches with the fingerprint of ``text`` as last column ``into``: for maps that do more in the same task."""
+    for b in batches:
+        at = b.schema.get_field_index(text)
+        for i in range(0, b.num_rows, 512):
+            part = b.slice(i, 512)
+            own = [fingerprint_of((t.as_py() or "").encode()) for t in part.column(at)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own, pa.string())],
+                                             schema=part.schema.append(pa.field(into, pa.string())))
+
+
+def fingerprints(df: DataFrame, text: str = "text", into: str = "fingerprint", compress: bool = False) -> DataFrame:
+    """``df`` with the fingerprint of ``text`` in column ``into``, which it replaces if it is there; narrow.
+
+    ``compress`` leaves ``text`` as Zstandard frames, for a shuffle that moves whole texts."""
     kept = [c for c in df.columns if c != into]
     source = df.select(*[F.col(f"`{c}`") for c in kept])
-    at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(0, b.num_rows, 2048):
-                part = b.slice(i, 2048)
-                own = [fingerprint_of((t.as_py() or "").encode()) for t in part.column(at)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own, pa.string())],
-                                                 schema=part.schema.append(pa.field(into, pa.string())))
-
-    return source.mapInArrow(run, StructType([*source.schema.fields, StructField(into, StringType())]))
+        found = with_fingerprints(batches, text, into)
+        return compressed_batches(found, text) if compress else found
+
+    fields = [StructField(f.name, BinaryType()) if compress and f.name == text else f for f in source.schema.fields]
+    return source.mapInArrow(run, StructType([*fields, StructField(into, StringType())]))
 
 
 def _alike(a: Column, b: Column) -> Column:

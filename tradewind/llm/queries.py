@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import compressed, documents, remainder, shared_path
+from tradewind.llm.common import documents, remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,45 +142,52 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-def with_tails_replaced(rows: DataFrame) -> DataFrame:
-    """From compressed ``text`` and ``next.text``: ``n_chars`` and ``edited``, the text with its last third
+def tails_replaced(batches):
+    """From compressed ``text`` and ``next_text``: ``n_chars`` and ``edited``, the text with its last third
     replaced by as much from the next text's beginning; other columns as they are."""
     import pyarrow as pa
     import zstandard
 
-    kept = ["doc_id", "fingerprint", "next_fingerprint", "times"]
-    source = rows.select("doc_id", "fingerprint", F.col("next.fingerprint").alias("next_fingerprint"), "times",
-                         "text", F.col("next.text").alias("next_text"))
+    read = zstandard.ZstdDecompressor().decompress
+    for b in batches:
+        kept = [c for c in b.schema.names if c not in ("text", "next_text")]
+        for i in range(0, b.num_rows, 512):
+            part = b.slice(i, 512)
+            counts, texts = [], []
+            for own, following in zip(part.column("text"), part.column("next_text")):
+                text, after = read(own.as_py()).decode(), read(following.as_py()).decode()
+                third = len(text) // 3
+                counts.append(len(text))
+                texts.append(text[:len(text) - third] + after[:third])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(counts, pa.int64()),
+                                              pa.array(texts, pa.string())], names=[*kept, "n_chars", "edited"])
 
-    def run(batches):
-        read = zstandard.ZstdDecompressor().decompress
-        for b in batches:
-            for i in range(0, b.num_rows, 1024):
-                part = b.slice(i, 1024)
-                counts, texts = [], []
-                for own, following in zip(part.column("text"), part.column("next_text")):
-                    text, after = read(own.as_py()).decode(), read(following.as_py()).decode()
-                    third = len(text) // 3
-                    counts.append(len(text))
-                    texts.append(text[:len(text) - third] + after[:third])
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(counts, pa.int64()),
-                                                  pa.array(texts, pa.string())], names=[*kept, "n_chars", "edited"])
 
-    types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
-    return source.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in kept) + ", n_chars long, edited string")
+def op13_piecewise_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import hashlib
 
+    import pyarrow as pa
 
-def op13_piecewise_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradewind.llm import piecewise, succession
 
     rows, begins = succession.in_order(documents(spark, sf_dir))
-    rows = compressed(piecewise.fingerprints(rows), "text")
-    rows = with_tails_replaced(succession.with_next(rows, begins, ["text", "fingerprint"]))
-    rows = piecewise.fingerprints(rows, text="edited", into="edited_fingerprint")
-    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
-                       "edited_fingerprint", piecewise.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-                       piecewise.likeness("fingerprint", "next_fingerprint").alias("near_next"),
-                       F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy")).drop("copy")
+    rows = succession.with_next(piecewise.fingerprints(rows, compress=True), begins, ["text", "fingerprint"])
+    rows = rows.select("doc_id", "fingerprint", F.col("next.fingerprint").alias("next_fingerprint"), "times",
+                       "text", F.col("next.text").alias("next_text"))
+
+    def edit(batches):
+        for b in piecewise.with_fingerprints(tails_replaced(batches), "edited", "edited_fingerprint"):
+            at = b.schema.get_field_index("edited")
+            digests = [hashlib.sha256(t.as_py().encode()).hexdigest() for t in b.column(at)]
+            yield b.set_column(at, "edited_sha256", pa.array(digests, pa.string()))
+
+    key_type = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(edit, f"doc_id {key_type}, fingerprint string, next_fingerprint string, times long, "
+                                  "n_chars long, edited_sha256 string, edited_fingerprint string")
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                        piecewise.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+                        piecewise.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy")).drop("copy")
 
 
 QUERIES: dict[str, Query] = {
