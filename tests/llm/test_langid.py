@@ -23,15 +23,15 @@ def brute_phrases(text, sample):
 
 def samples(seed=1, n=400):
     rng = random.Random(seed)
-    return tuple((lang, " " + " ".join(rng.choice(w) for _ in range(n)) + " ") for lang, w in sorted(WORDS.items()))
+    return tuple((lang, (" " + " ".join(rng.choice(w) for _ in range(n)) + " ").encode()) for lang, w in sorted(WORDS.items()))
 
 
 def test_parse_equals_brute_force():
     model, rng = samples(), random.Random(2)
     own = langid.Parser(model)
     texts = ["".join(rng.choice("abnxyz ñßéú☃") for _ in range(rng.randrange(1, 200))) for _ in range(60)] + ["☃", "a"]
-    got = own.phrases([own.encode(t) for t in texts])
-    assert got.tolist() == [[brute_phrases(t, s) for _, s in model] for t in texts]
+    got = own.phrases([own.encode(t.encode()) for t in texts])
+    assert got.tolist() == [[brute_phrases(t.encode(), s) for _, s in model] for t in texts]
 
 
 def test_automaton_knows_exactly_the_substrings():
@@ -49,7 +49,7 @@ def test_automaton_knows_exactly_the_substrings():
 
 
 def test_long_texts_are_parsed_whole():
-    own = langid.Parser(samples())
+    own = langid.groups(samples())
     head, tail = " ".join(["xyzzy zyx"] * 100), " ".join(["bana nab ana"] * 3000)
     assert [p for p, _ in langid._scored([head, head + " " + tail], own)] == ["bb", "aa"]
 
@@ -57,10 +57,10 @@ def test_long_texts_are_parsed_whole():
 def test_language_with_a_tiny_sample_wins_no_other_texts():
     letters, rng = {"aa": "abcdefghijklm ", "bb": "nopqrstuvwxyz "}, random.Random(4)
     text = lambda lang, n: " ".join("".join(rng.choice(letters[lang]) for _ in range(n)).split())
-    model = tuple((lang, f" {text(lang, 20_000)} ") for lang in letters)
+    model = tuple((lang, f" {text(lang, 20_000)} ".encode()) for lang in letters)
     texts = [(lang, text(lang, 200)) for lang in letters for _ in range(10)]
     for word in ("a", "ok", "hello"):
-        own = langid.Parser(model + (("zz", f" {word} "),))
+        own = langid.groups(model + (("zz", f" {word} ".encode()),))
         assert [p for p, _ in langid._scored([t for _, t in texts], own)] == [lang for lang, _ in texts]
 
 
@@ -85,3 +85,35 @@ def test_nothing_learned_and_empty_table(spark):
     assert model == ()
     assert [r.lang_pred for r in langid.predict(docs_of(spark, ["text"]), model).collect()] == ["und"]
     assert langid.predict(spark.createDataFrame([], DOC_SCHEMA), samples()).count() == 0
+
+
+def test_two_alphabets_of_300_letters(spark):
+    rng = random.Random(6)
+    letters = {"aa": [chr(0x4E00 + i) for i in range(300)], "bb": [chr(0xAC00 + i) for i in range(300)]}
+    text = lambda lang, n: "".join(rng.choice(letters[lang]) for _ in range(n))
+    rows = [(i, text("aa", 2000) if i < 20 else text("bb", 500), "aa" if i < 20 else "bb", "s", 1) for i in range(40)]
+    model = langid.learn(spark.createDataFrame(rows, DOC_SCHEMA))
+    texts = [(lang, text(lang, 60)) for lang in letters for _ in range(20)]
+    got = list(langid._scored([t for _, t in texts], langid.groups(model)))
+    assert [p for p, _ in got] == [lang for lang, _ in texts] and all(s > 0 for _, s in got)
+
+
+def test_predictions_do_not_depend_on_the_number_of_labels(spark):
+    rng = random.Random(7)
+    real = [(i, " ".join(rng.choice(WORDS[lang]) for _ in range(200)), lang, "s", 1) for i, lang in enumerate(sorted(WORDS) * 5)]
+    learn = lambda rows: langid.learn(spark.createDataFrame(rows, DOC_SCHEMA))
+    alone = dict(learn(real))
+    for junk in (20, 1500):
+        rows = real + [(1000 + i, f"q{'jkvw'[i % 4]} zq", f"junk-{i}", "s", 1) for i in range(junk)]
+        model = dict(learn(rows))
+        assert len(model) == len(WORDS) + junk and all(model[lang] == alone[lang] for lang in WORDS)
+    own = langid.groups(tuple(sorted(model.items())), 2_000)
+    assert len(own) > 5                                    # several passes
+    texts = [t for _, t, _, _, _ in real]
+    assert [p for p, _ in langid._scored(texts, own)] == [lang for _, _, lang, _, _ in real]
+
+
+def test_a_language_of_equal_rows_is_learned(spark):
+    rows = [(7, "bana nab ana ban", "aa", "s", 1)] * 4000 + [(i, "xyzzy zyx yxy " * 50, "bb", "s", 1) for i in range(28)]
+    model = langid.learn(spark.createDataFrame(rows, DOC_SCHEMA))
+    assert [name for name, _ in model] == ["aa", "bb"] and model[0][1] == b" bana nab ana ban "

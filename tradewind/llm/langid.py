@@ -4,19 +4,23 @@ Per language, a suffix automaton of a sample of labelled text recognises every
 substring of the sample.  A text is parsed greedily into phrases: each is the
 longest prefix of the rest that occurs in the sample (a character that does not
 occur is a phrase of its own).  The fewer phrases, the closer the language; the
-entropy ``phrases * log2(sample length) / characters`` takes ``SAMPLE_CHARS`` for shorter
+entropy ``phrases * log2(sample length) / length`` takes ``SAMPLE_BYTES`` for shorter
 samples, so that a phrase, and a character the sample lacks, is no cheaper where little
 was learned.  The language with the least wins (ties: the smaller name).
 
 Texts are lower-cased; runs of characters that are not letters become one blank.
-They are parsed in segments of ``SEGMENT`` characters, many segments of many
-texts in step, one array operation per character position for all languages.
+The characters of samples and texts are the bytes of their UTF-8 form, so that all letters
+of all scripts are told apart by automata over at most 256 signs.
+Texts are parsed in segments of ``SEGMENT`` bytes, many segments of many
+texts in step, one array operation per position for all languages.
 A segment border adds a phrase at most, alike for every language.
 
-Learning is bounded: ``sample_chars`` characters per language (less, if there are more
-than ``ALL_CHARS / sample_chars`` languages), taken from windows of documents chosen
-by hash over the whole training table; ``MAX_LANGUAGES`` languages at most.  The model is the
-sample text itself; each worker builds the automata once.
+Learning is bounded: ``sample_bytes`` bytes per language, taken from windows of
+documents chosen by hash over the whole training table, and ``MODEL_BYTES`` for all languages
+together, those with most text first.  A language's sample does not depend on how many
+others there are.  The model is the sample text itself.  Workers build the automata
+of at most ``TABLE_BYTES`` of samples at a time; texts pass through these groups one after the
+other, so many languages cost time and no memory.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0;
 without any learned language every text is ``und``; repeated rows each get a
@@ -26,7 +30,6 @@ result; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,19 +40,17 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import batches_of, keep_rows
 
-#: Characters of labelled text per language, and of the window taken from one document.
-SAMPLE_CHARS, WINDOW = 50_000, 4_096
-#: Characters of all samples together (the workers' tables grow with them), and languages learned at most.
-ALL_CHARS, MAX_LANGUAGES = 400_000, 1_000
-#: Characters of a segment; segments parsed in step.
+#: Bytes of labelled text per language; characters of the window taken from one document.
+SAMPLE_BYTES, WINDOW = 50_000, 4_096
+#: Bytes of all samples together, in which a language counts for ``LEAST_BYTES`` at least; bytes of the samples whose automata a worker holds in one table; tables kept.
+MODEL_BYTES, LEAST_BYTES, TABLE_BYTES, TABLES = 64_000_000, 1_000, 400_000, 2
+#: Bytes of a segment; segments parsed in step.
 SEGMENT, TOGETHER = 1_024, 4_096
-#: Letters that the automata tell apart at most.
-ALPHABET = 255
 UNKNOWN = "und"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
-Model = tuple[tuple[str, str], ...]           # (language, sample), ordered by language
+Model = tuple[tuple[str, bytes], ...]         # (language, sample), ordered by language
 
 
 def normalise(text: str | None) -> str:
@@ -59,31 +60,38 @@ def normalise(text: str | None) -> str:
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-          sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Samples of each language's text in ``docs``, the labelled training rows."""
+          sample_bytes: int = SAMPLE_BYTES, model_bytes: int = MODEL_BYTES) -> Model:
+    """Samples of each language's text in ``docs``, the labelled training rows; repeated rows count once."""
+    place = F.xxhash64(F.lit("language sample"), "key", "text")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")) \
-        .where("text IS NOT NULL AND lang IS NOT NULL")
-    # One row per language: a bounded table, the languages with most text.
-    totals = rows.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(WINDOW))).alias("total")) \
-        .orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
-    languages = totals.collect()
-    sample_chars = min(sample_chars, ALL_CHARS // max(1, len(languages)))
-    totals = rows.sparkSession.createDataFrame([(r["lang"], r["total"]) for r in languages], "lang string, total long")
+        .where("text IS NOT NULL AND lang IS NOT NULL").withColumn("place", place)
+    # One row per language, the languages with most text first, as many as the model can hold.
+    single = rows.groupBy("lang", "key", "place").agg(F.min(F.least(F.length("text"), F.lit(WINDOW))).alias("size"))
+    totals = single.groupBy("lang").agg(F.sum("size").alias("total")).where("total > 0")
+    bounded = totals.orderBy(F.desc("total"), "lang").limit(max(1, model_bytes // LEAST_BYTES)).collect()
+    held, names = 0, []
+    for r in bounded:
+        held += max(LEAST_BYTES, min(r["total"], sample_bytes))
+        if held > model_bytes and names:
+            break
+        names.append((r["lang"], r["total"]))
+    if not names:
+        return ()
+    chosen = rows.sparkSession.createDataFrame(names, "lang string, total long")
     # Windows of three times the sample are fetched, so that short texts are enough too.
-    place = F.xxhash64(F.lit("language sample"), "key", "text")
-    share = F.pmod(place, F.lit(1 << 40)) / F.lit(float(1 << 40))
-    windows = rows.join(F.broadcast(totals), "lang") \
-        .withColumn("share", share).where(F.col("share") * F.col("total") < 3 * sample_chars) \
+    share = F.pmod("place", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    windows = rows.join(F.broadcast(chosen), "lang") \
+        .withColumn("share", share).where(F.col("share") * F.col("total") < 3 * sample_bytes) \
         .withColumn("at", F.pmod(F.xxhash64("share"), F.greatest(F.lit(1), F.length("text") - WINDOW + 1))) \
-        .select("lang", "share", "key", F.expr(f"substring(text, cast(at AS int) + 1, {WINDOW})").alias("part"))
+        .select("lang", "share", "key", F.expr(f"substring(text, cast(at AS int) + 1, {WINDOW})").alias("part")).distinct()
     parts: dict[str, list] = {}
     for r in windows.collect():
         parts.setdefault(r["lang"], []).append((r["share"], r["key"] is None, r["key"] or 0, r["part"]))
     model = []
     for name in sorted(parts):
-        sample = " ".join(filter(None, (normalise(p[-1]) for p in sorted(parts[name]))))[:sample_chars]
+        sample = " ".join(filter(None, (normalise(p[-1]) for p in sorted(parts[name])))).encode()[:sample_bytes]
         if sample:
-            model.append((name, f" {sample} "))
+            model.append((name, b" " + sample + b" "))
     return tuple(model)
 
 
@@ -125,19 +133,17 @@ def suffix_automaton(text: np.ndarray, letters: int) -> np.ndarray:
 
 
 class Parser:
-    """The automata of all languages in one transition table."""
+    """The automata of some languages in one transition table."""
 
     def __init__(self, model: Model):
         self.names = [name for name, _ in model]
-        common = [c for c, _ in Counter("".join(sample for _, sample in model)).most_common(ALPHABET - 1)]
-        self.codes = np.zeros(0x110000, dtype=np.uint8)        # 0: no automaton knows it
-        for i, c in enumerate(sorted(common), 1):
-            self.codes[ord(c)] = i
-        self.letters = len(common) + 1
+        held = sorted(set(b"".join(sample for _, sample in model)))
+        self.codes = np.zeros(256, dtype=np.uint16)            # 0: no automaton knows it
+        self.codes[held] = np.arange(1, len(held) + 1)
+        self.letters = len(held) + 1
         tables, self.root, at = [], [], 0
         for _, sample in model:
             own = suffix_automaton(self.encode(sample), self.letters)
-            own[:, 0] = 0
             # Targets are stored as positions of their rows, so that a step is one addition and one look-up.
             tables.append(np.where(own > 0, (own + at) * self.letters, 0))
             self.root.append(at * self.letters)
@@ -145,17 +151,17 @@ class Parser:
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, dtype=np.int64)
         if at * self.letters < 1 << 31:
             self.table = self.table.astype(np.int32)
-        self.cost = np.log2([max(SAMPLE_CHARS, len(sample)) for _, sample in model])
+        self.cost = np.log2([max(SAMPLE_BYTES, len(sample)) for _, sample in model])
 
-    def encode(self, text: str) -> np.ndarray:
-        return self.codes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+    def encode(self, text: bytes) -> np.ndarray:
+        return self.codes[np.frombuffer(text, dtype=np.uint8)]
 
     def phrases(self, segments: list[np.ndarray]) -> np.ndarray:
         """(segments, languages): phrases of each segment's greedy parse."""
         order = sorted(range(len(segments)), key=lambda i: -len(segments[i]))
         lengths = np.array([len(segments[i]) for i in order])
         width = int(lengths[0]) if len(lengths) else 0
-        grid = np.zeros((width, len(order)), dtype=np.uint8)   # a row per position
+        grid = np.zeros((width, len(order)), dtype=np.uint16)   # a row per position
         for col, i in enumerate(order):
             grid[:len(segments[i]), col] = segments[i]
         active = len(order) - np.searchsorted(lengths[::-1], np.arange(width), side="right")
@@ -175,41 +181,50 @@ class Parser:
         return out
 
 
-@lru_cache(maxsize=2)
-def parser(model: Model) -> Parser:
-    return Parser(model)
+def groups(model: Model, most: int = TABLE_BYTES) -> tuple[Model, ...]:
+    """The languages in order, cut so that the samples of a group have at most ``most`` bytes (or are one)."""
+    out: list[list] = []
+    size = 0
+    for entry in model:
+        if not out or size + len(entry[1]) > most:
+            out.append([])
+            size = 0
+        out[-1].append(entry)
+        size += len(entry[1])
+    return tuple(map(tuple, out))
 
 
-def _scored(texts: list[str | None], own: Parser) -> Iterator[tuple[str, float]]:
-    total = np.zeros((len(texts), len(own.names)), dtype=np.int64)
-    held, owner = [], []
+@lru_cache(maxsize=TABLES)
+def parser(part: Model) -> Parser:
+    return Parser(part)
 
-    def flush():
-        if held:
-            np.add.at(total, np.array(owner), own.phrases(held))
-            held.clear()
-            owner.clear()
 
-    empty = []
+def _scored(texts: list[str | None], parts: tuple[Model, ...]) -> Iterator[tuple[str, float]]:
+    names = [name for part in parts for name, _ in part]
+    segments, owner, empty = [], [], []
     for i, t in enumerate(texts):
-        clean = normalise(t)
+        clean = normalise(t).encode("utf-8", "surrogatepass")
         empty.append(not clean)
-        if clean and own.names:
-            codes = own.encode(clean)
-            for at in range(0, len(codes), SEGMENT):
-                held.append(codes[at:at + SEGMENT])
-                owner.append(i)
-                if len(held) >= TOGETHER:
-                    flush()
-    flush()
-    for none, counts in zip(empty, total):
-        if none or not own.names:
+        for at in range(0, len(clean), SEGMENT):
+            segments.append(clean[at:at + SEGMENT])
+            owner.append(i)
+    costs = np.zeros((len(texts), len(names)))
+    done = 0
+    for part in parts:
+        own = parser(part)
+        total = np.zeros((len(texts), len(part)), dtype=np.int64)
+        for i in range(0, len(segments), TOGETHER):
+            held = [own.encode(x) for x in segments[i:i + TOGETHER]]
+            np.add.at(total, np.array(owner[i:i + TOGETHER]), own.phrases(held))
+        costs[:, done:done + len(part)] = total * own.cost
+        done += len(part)
+    for none, cost in zip(empty, costs):
+        if none or not names:
             yield UNKNOWN, 0.0
             continue
-        cost = counts * own.cost
         best = int(np.argmin(cost))
         others = np.delete(cost, best)
-        yield own.names[best], 1.0 if not len(others) else float(1 - cost[best] / others.min())
+        yield names[best], 1.0 if not len(others) else float(1 - cost[best] / others.min())
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -219,12 +234,12 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     key_type = source.schema["k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = parser(model)
+        parts = groups(model)
         for b in batches:
             schema = pa.schema([("k", b.schema.field("k").type), ("lang_pred", pa.string()), ("score", pa.float64())])
             for i in range(0, b.num_rows, 2048):
                 part = b.slice(i, 2048)
-                found = _scored(part.column("t").to_pylist(), own)
+                found = _scored(part.column("t").to_pylist(), parts)
                 yield from batches_of(((k, *f) for k, f in zip(part.column("k").to_pylist(), found)), schema)
 
     return source.mapInArrow(run, f"k {key_type}, lang_pred string, score double").withColumnRenamed("k", key)
@@ -233,8 +248,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 def keep(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, whose language is known (and among ``languages``, if given)."""
     def judge():
-        own = parser(model)
+        parts = groups(model)
         return lambda texts: [name != UNKNOWN and (languages is None or name in languages)
-                              for name, _ in _scored(texts, own)]
+                              for name, _ in _scored(texts, parts)]
 
     return keep_rows(docs, text, judge)
