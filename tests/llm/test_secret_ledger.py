@@ -72,3 +72,18 @@ def test_redaction_covers_every_span(spark, tmp_path):
     found = sl.findings(df, f"{tmp_path}/ledger")
     out = {r.doc_id: r.t for r in df.join(found, "doc_id").select("doc_id", sl.redacted("text").alias("t")).collect()}
     assert out == {0: "é a [SECRET] b [SECRET]", 1: "clean", 2: None}
+
+
+def test_one_ledger_row_per_blob_for_repeated_rows(spark, tmp_path):
+    ledger = f"{tmp_path}/ledger"
+    rows = [(7, "token=cccccccccc", "en", "s", 1)] * 1000 + [(8, "token=cccccccccc", "en", "s", 1), (None, None, "en", "s", 1),
+                                                             (None, None, "en", "s", 1), (9, "", "en", "s", 1)]
+    found = sl.findings(spark.createDataFrame(rows, DOC_SCHEMA).repartition(6), ledger).collect()
+    assert len(found) == 1004 and sum(len(r.findings) for r in found) == 1001
+    assert spark.read.parquet(ledger).count() == 2
+
+
+def test_redaction_keeps_columns_with_clashing_names(spark, tmp_path):
+    df = docs_of(spark, ["token=cccccccccc", "clean"]).selectExpr("*", "'mine' AS _blob", "'own' AS _found")
+    out = sl.redact(df, f"{tmp_path}/ledger").orderBy("doc_id").collect()
+    assert [(r.text, r._blob, r._found) for r in out] == [("[SECRET]", "mine", "own"), ("clean", "mine", "own")]

@@ -126,8 +126,10 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str, content: str,
     else:
         todo = todo.withColumn("missing", wanted)
     # Text is fetched by the key of one holder of the blob: only small rows take part in the grouping.
+    # Rows that repeat a key and a content are combined before they move.
     todo = todo.withColumnRenamed("blob", "todo_blob").withColumnRenamed("key", "todo_key").hint("shuffle_hash")
-    held = source.join(todo, F.col("key").eqNullSafe(F.col("todo_key")) & (F.col("blob") == F.col("todo_blob")))
+    single = source.groupBy("key", "blob").agg(F.first("text").alias("text"))
+    held = single.join(todo, F.col("key").eqNullSafe(F.col("todo_key")) & (F.col("blob") == F.col("todo_blob")))
     found = [F.when(F.array_contains("missing", r.key), _spans("text", r, i)).otherwise(_nothing())
              for i, r in enumerate(rules)]
     held.select("blob", F.col("missing").alias("scanned"), F.concat(*found).alias("findings")) \
@@ -176,7 +178,15 @@ def redact(docs: DataFrame, ledger: str, key: str = "doc_id", content: str = "te
            mark: str = "[SECRET]") -> DataFrame:
     """``docs``, all columns, with the secrets in ``content`` replaced by ``mark``."""
     scan_unseen(docs, ledger, key, content, rules)
-    found = by_blob(docs.sparkSession, ledger, rules).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
-    held = docs.withColumn("_blob", blob_of(content)).join(found, "_blob", "left")
-    clean = F.when(F.col("_found").isNull(), F.col(content)).otherwise(redacted(content, "_found", mark))
+    own, spans = (_free(name, docs.columns) for name in ("_blob", "_found"))
+    found = by_blob(docs.sparkSession, ledger, rules).select(F.col("blob").alias(own), F.col("found").alias(spans))
+    held = docs.withColumn(own, blob_of(content)).join(found, own, "left")
+    clean = F.when(F.col(spans).isNull(), F.col(content)).otherwise(redacted(content, spans, mark))
     return held.withColumn(content, clean).select(*docs.columns)
+
+
+def _free(name: str, columns: Sequence[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
