@@ -11,16 +11,14 @@ from tradewind.llm import packing
 from tradewind.llm.queries import op10_best_fit_packing
 
 ODD = [None, "", " ", "\n", "a", "  two  blanks\n\n  then ", "tab\there \r\n and\x0b\x1c\x85 more", "it's we'll 'S 'sx",
-       "é x　y z", "<|endoftext|> is text", "日本語のテキスト 123 abc" * 30, "x" * 5000, "a b " * 6000,
+       "é x　y z", "<|endoftext|> is a token", "see <|endoftext|> here", "a<|endoftext|><|endoftext|>b <|endoftext", "<|endof text|>", "日本語のテキスト 123 abc" * 30, "x" * 5000, "a b " * 6000,
        "w" * 41 + " " + "w" * 41, "🙂🙃 ‍👩‍🚀 end ",
        "don't'sx (the \"word's\", it'll! 3rd4th x²3 µm ªº āēī été-où naïve_name #tag\n\n's 'll", "a\x00b \x7f c\x1fd",
        "e\u0301 combining \u0301x", "ﬁ ligature, ǅ and Ⅷ"]
 
 
 def direct(text):
-    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
-    return tok.encode(text or "", add_special_tokens=False).ids + [0]
+    return Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def test_cached_tokenizer_equals_whole_text():

@@ -64,3 +64,28 @@ def test_few_rows_and_empty_table(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in pi.search(one, one.where("vec_id = 0")).collect()] == [(0, 1, 1)]
     none = spark.createDataFrame([], SCHEMA)
     assert pi.search(none, none).count() == 0
+
+
+def test_each_vector_length_has_an_index(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=2).tolist(), 1) for i in range(200)] + [(1000 + i, rng.normal(size=3).tolist(), 1) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {}
+    for r in pi.search(df, df.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(got) == [0, 50, 100, 150, 1000, 1050]
+    for q, found in got.items():
+        want = pi.brute_force({i: v for i, v, _ in rows if (i < 1000) == (q < 1000)}, q)
+        assert [v for _, v in sorted(found)] == [v for v, _ in want]
+
+
+def test_a_vector_shared_by_a_third_of_all_rows(spark):
+    rng = np.random.default_rng(9)
+    same = rng.normal(size=8).tolist()
+    rows = [(i, same if i % 3 == 0 else rng.normal(size=8).tolist(), 1) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    classes = pi._classes(pi.usable(df, "vec_id", "embedding"), 6)
+    assert "WindowGroupLimit" in classes._jdf.queryExecution().executedPlan().toString()      # cut before rows move
+    assert max(classes.collect(), key=lambda r: len(r["keys"]))["keys"] == [0, 3, 6, 9, 12, 15]
+    got = sorted((r["rank"], r.vec_id) for r in pi.search(df, df.where("vec_id = 600")).collect())
+    assert [v for _, v in got] == [0, 3, 6, 9, 12]

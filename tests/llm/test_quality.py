@@ -55,3 +55,84 @@ def test_nothing_to_learn_from_and_empty_table(spark):
 def test_features_are_finite_for_odd_texts():
     for t in (None, "", " \n", "\x00", "🙂" * 100, "A!" * 5000, "one", "é１² ǅ", "\n".join(["same line"] * 50)):
         assert np.isfinite(q.features(t)).all()
+
+
+def plain_features(text):
+    """The features by their definitions, character by character."""
+    import math
+    text = text or ""
+    words = text.split()
+    out = [0.0] * q.FEATURES
+    if not words:
+        return out
+    n = len(words)
+
+    def shape(c):
+        if ord(c) > 0xFFFF:
+            c = "\uffff"
+        return " " if c.isspace() else "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c if ord(c) < 128 else "o"
+    shapes = [shape(c) for c in text]
+    count = lambda s: sum(x == s for x in shapes)
+    letters, dense = count("X") + count("x"), len(shapes) - count(" ")
+    low = text.lower().split()
+    lines = [x for x in text.split("\n") if x.strip()]
+    out[0] = math.log1p(n)
+    out[1] = sum(low[i] == low[i + 1] for i in range(len(low) - 1)) / n
+    out[2] = sum(len(set(low[i:i + q.WINDOW])) for i in range(0, n, q.WINDOW)) / n
+    out[3] = count("X") / max(1, letters)
+    out[4] = 1 - (letters + count("9")) / max(1, dense)
+    out[5] = count("9") / max(1, dense)
+    out[6] = min(dense / n, 40.0)
+    out[7] = min(len(lines) / n, 1.0)
+    out[8] = 1 - len(set(lines)) / max(1, len(lines))
+    runs = [s for i, s in enumerate(shapes) if i == 0 or s != shapes[i - 1]]
+    share = [0.0] * q.SHAPES
+    for word in "".join(runs).split():
+        share[zlib.crc32(word.encode()) % q.SHAPES] += 1 / n
+    return out[:q.PLAIN] + [math.sqrt(x) for x in share]
+
+
+def test_features_equal_plain_ones():
+    rng = random.Random(5)
+    texts = [prose(rng) for _ in range(10)] + [junk(rng) for _ in range(5)] + [
+        None, "", "Hello, World 42!", "é１² ǅ \x00", "same\nsame\n\nother", "".join(rng.choice("aA1!,;") for _ in range(300))]
+    for t in texts:
+        assert np.allclose(q.features(t), plain_features(t), atol=1e-5), t
+
+
+def test_scores_equal_plain_ones(spark):
+    """The query's score is the logistic function of the weighted, standardised, clipped features."""
+    import math
+    rng = random.Random(9)
+    texts = [prose(rng) if i % 2 else junk(rng) for i in range(200)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = q.learn(docs, labels)
+    got = {r.doc_id: r.score for r in q.score(docs, model).collect()}
+    for i in range(0, 200, 7):
+        f = plain_features(texts[i])
+        z = sum(w * min(8, max(-8, (x - m) / s)) for w, x, m, s in zip(model.weights, f, model.mean, model.scale)) + model.weights[-1]
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-4
+
+
+def test_gradient_of_the_risk():
+    """The weights found lie at a least of the non-negative unbiased risk, computed plainly."""
+    rng = np.random.default_rng(3)
+    row = lambda n, at: np.column_stack([rng.normal(at, 1, (n, 2)), np.ones(n)])
+    pos, unl, prior = row(400, 1), np.concatenate([row(300, 1), row(300, -1)]), 0.5
+
+    def risk(w):
+        loss = lambda z: np.log1p(np.exp(-z)).mean()
+        return prior * loss(pos @ w) + max(0.0, loss(-unl @ w) - prior * loss(-pos @ w)) + 0.5e-3 * (w @ w)
+    w = q.nn_pu(pos, unl, prior)
+    assert all(risk(w) <= risk(w + d) + 1e-3 for d in rng.normal(0, 0.2, (50, 3)))
+
+
+def test_driver_rows_are_bounded_under_a_hot_key(spark, monkeypatch):
+    rows = [(1, f"text {i}", "en", "s", 1) for i in range(3000)] + [(i, f"word {i}", "en", "s", 1) for i in range(2, 400)]
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 100)], "doc_id long, quality int")
+    fetched = []
+    plain = q._feature_rows
+    monkeypatch.setattr(q, "_feature_rows", lambda df: fetched.append(plain(df)) or fetched[-1])
+    q.learn(spark.createDataFrame(rows, DOC_SCHEMA), labels, max_positives=20, max_unlabelled=50)
+    assert len(fetched[0]) == 20 and 0 < len(fetched[1]) <= 50

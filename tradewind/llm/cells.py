@@ -12,11 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.common import materialize
+
 
 def with_cells(rows: DataFrame, keys: list[str], by: str, chunk: int) -> DataFrame:
     """``rows`` of groups with two members or more, with ``cell_a``, ``cell_b`` (a <= b) and ``own`` (the row's chunk)."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1") \
-        .select(*keys, F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("_k"))
+    # Written first: adaptive execution can split a large group's join with a table, not with an aggregate.
+    sizes = materialize(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+                        .select(*keys, F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("_k")), "cell-sizes")
     dealt = rows.join(sizes, keys) \
         .withColumn("own", F.pmod(F.xxhash64(F.lit("cell"), F.col(by)), F.col("_k")).cast("int")) \
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))

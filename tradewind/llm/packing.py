@@ -55,9 +55,7 @@ def default_tokenizer() -> str:
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks are the parallel units
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True                   # their strings in a text are ordinary text
-    return tok
+    return Tokenizer.from_file(path)
 
 
 class CachedTokenizer:
@@ -70,6 +68,8 @@ class CachedTokenizer:
     Letters do not go on into a character that is neither letter nor white space
     either: where a text's letters are those of ``_PLAIN``, words are chunks without
     what follows them, so fewer chunks differ.
+    A text that holds the string of an added token is encoded whole, by the tokenizer's
+    own defaults: the string becomes that token.
     """
 
     _CHUNKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -80,6 +80,8 @@ class CachedTokenizer:
 
     def __init__(self, path: str, entries: int = 1_000_000, longest: int = 40):
         self.tok, self.entries, self.longest, self.known = _tokenizer(path), entries, longest, {}
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         # Byte-level tokens are written with one character per byte.
         vocab = self.tok.get_vocab()
         self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
@@ -112,7 +114,7 @@ class CachedTokenizer:
                 self.known.update(zip(chunks[i:i + 1024], encode(chunks[i:i + 1024])))
 
     def _split(self, text: str) -> list[str] | None:
-        if self._OTHER_SPACE.search(text):
+        if self._OTHER_SPACE.search(text) or (self.added and self.added.search(text)):
             return None
         return (self._CHUNKS if self._NOT_PLAIN.search(text) else self._WORDS).findall(text)
 

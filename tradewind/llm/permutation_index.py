@@ -20,14 +20,17 @@ The number of blocks grows with the input and so does the work of a query; the
 footrule walk is about ``prefix / pivots`` of ``prefix`` additions per vector, and ``rerank``
 of the vectors are read at full length.  ``recall`` measures against brute force.
 
+Each length of the queries' vectors has pivots and an index of its own, built one
+after the other; vectors of other lengths can't be compared.
+
 Defined results: vectors that are NULL, zero or hold NULL or non-finite
-components take no part; vectors of another length than the most common one
-neither; repeated rows count once per key; empty tables give empty results; with
+components take no part; repeated rows count once per key; empty tables give empty results; with
 fewer candidates than asked for, all are returned.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,31 +98,38 @@ def _classes(vectors: DataFrame, keep: int) -> DataFrame:
     """Distinct vectors with their ``keep`` smallest keys, ascending."""
     # Equal numbers may differ in the sign of zero: they are brought to one form before grouping.
     plain = vectors.select("key", F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector")).distinct()
-    salted = plain.groupBy("vector", F.pmod(F.xxhash64("key"), F.lit(64)).alias("salt")) \
-        .agg(F.slice(F.array_sort(F.collect_list("key")), 1, keep).alias("keys"))
-    return salted.groupBy("vector").agg(F.slice(F.array_sort(F.flatten(F.collect_list("keys"))), 1, keep).alias("keys"))
+    # A rank with a limit is cut to ``keep`` rows of a vector in every task before rows move.
+    first = F.row_number().over(Window.partitionBy("vector").orderBy("key"))
+    least = plain.withColumn("r", first).where(F.col("r") <= keep)
+    return least.groupBy("vector").agg(F.array_sort(F.collect_list("key")).alias("keys"))
 
 
 def search(embeddings: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding",
            pivots: int = PIVOTS, prefix: int = PREFIX, rerank: float = RERANK, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, key, score``: for each row of ``queries`` its nearest rows of ``embeddings``
     (other than those with its own key), nearest first, ties to the smaller key."""
-    rows = usable(embeddings, key, vector)
-    width = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    empty = "query_id long, rank int, key long, score double"
-    if width is None:
-        return embeddings.sparkSession.createDataFrame([], empty).withColumnRenamed("key", key)
-    same = F.size("vector") == width["d"]
-    classes = materialize(_classes(rows.where(same), k + 1), "ann-classes")
+    rows, asked = usable(embeddings, key, vector), usable(queries, key, vector)
+    widths = sorted(r["d"] for r in asked.groupBy(F.size("vector").alias("d")).count().collect())
+    found = [_search(rows.where(F.size("vector") == d), asked.where(F.size("vector") == d), k, pivots, prefix, rerank, block)
+             for d in widths]
+    if not found:
+        found = [embeddings.sparkSession.createDataFrame([], "query_id long, rank int, key long, score double")]
+    return functools.reduce(DataFrame.unionByName, found).withColumnRenamed("key", key)
+
+
+def _search(rows: DataFrame, queries: DataFrame, k: int, pivots: int, prefix: int, rerank: float, block: int) -> DataFrame:
+    """``query_id, rank, key, score`` among vectors of one length."""
+    classes = materialize(_classes(rows, k + 1), "ann-classes")
     points = choose_pivots(classes, pivots)
     own_prefix = min(prefix, len(points))
 
-    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
+    def blocks(df: DataFrame, size: int, name: str, *by: str) -> tuple[DataFrame, int]:
         n = max(1, -(-df.count() // size))
-        return df.withColumn(name, F.pmod(F.xxhash64(F.lit(name), "vector"), F.lit(n)).cast("int")), n
+        return df.withColumn(name, F.pmod(F.xxhash64(F.lit(name), *by), F.lit(n)).cast("int")), n
 
-    index, shards = blocks(classes, block, "shard")
-    asked, parts = blocks(usable(queries, key, vector).where(same).distinct(), QUERY_BLOCK, "part")
+    index, shards = blocks(classes, block, "shard", "vector")
+    # By key as well: queries that share a vector are spread over the blocks.
+    asked, parts = blocks(queries.distinct(), QUERY_BLOCK, "part", "key", "vector")
     side = index.select("shard", "keys", F.lit(None).cast("long").alias("query_id"), "vector")
     asks = asked.select("part", F.col("key").alias("query_id"), "vector")
 
@@ -166,7 +176,7 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 5, key: str = "ve
         .applyInPandas(compare, "query_id long, key long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "key")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
-        .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("key").alias(key), "score")
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "key", "score")
 
 
 def brute_force(vectors: dict[int, list[float]], query: int, k: int = 5) -> list[tuple[int, float]]:
@@ -189,6 +199,8 @@ def recall(found: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int =
     asked = [(r["key"], r["vector"]) for r in usable(queries, key, vector).collect()]
     if not asked:
         return 1.0
+    if len({len(v) for _, v in asked}) > 1:
+        raise ValueError("audit the queries of one vector length at a time")
     ids, q = np.array([a for a, _ in asked]), unit(np.array([v for _, v in asked]))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -21,7 +21,8 @@ collapsed), so no vocabulary is kept.
 
 Defined results: NULL and empty texts have the features of no words and are scored like
 any other; labels that are NULL or contradict each other are not used; without
-positives every score is 0.5; repeated rows each get a result; an empty table
+positives every score is 0.5; of a key with several training rows one text is learned from;
+repeated rows each get a result; an empty table
 gives an empty result.
 """
 
@@ -87,7 +88,7 @@ def features(text: str | None) -> np.ndarray:
                    1 - len(set(lines)) / max(1, len(lines)))
     kept = shape[np.concatenate(([True], shape[1:] != shape[:-1]))]
     for s, c in Counter(kept.tobytes().split()).items():
-        out[PLAIN + zlib.crc32(s[:16]) % SHAPES] += c / n
+        out[PLAIN + zlib.crc32(s) % SHAPES] += c / n
     out[PLAIN:] = np.sqrt(out[PLAIN:])
     return out
 
@@ -192,7 +193,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     ids = source.select("key")
     of_positive = _bounded(trusted.join(ids.distinct(), "key", "left_semi"), "key", max_positives)
     of_unlabelled = _bounded(ids, "key", max_unlabelled).distinct()
-    chosen = lambda keys: _feature_rows(source.join(F.broadcast(keys), "key", "left_semi"))
+    # Of a repeated key one text counts, so the driver gets a row per chosen key at most.
+    chosen = lambda keys: _feature_rows(source.join(F.broadcast(keys), "key", "left_semi")
+                                        .groupBy("key").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
     return fit(chosen(of_positive), chosen(of_unlabelled))
 
 
