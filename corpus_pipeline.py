@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import langid, packing, quality, secret_ledger, simhash
-from tradewind.llm.common import documents, materialize, remainder, shared_path
+from tradewind.llm.common import documents, remainder, shared_path
 from tradewind.llm.queries import QUALITY_THRESHOLD
+from tradewind.session import intermediates, remove, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +63,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages; what a stage wrote beside its result, and its input, go once its result is written.
+
+    The last stage's own tables stay, since the returned rows are read from them."""
+    docs, held = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with intermediates(spark) as written:
+            path = scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            written.remove(path)
+        if held:
+            remove(spark, held)
+        docs, held = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
