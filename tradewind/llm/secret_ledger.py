@@ -113,10 +113,12 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str, content: str,
                 rules: Sequence[Rule] = RULES) -> None:
     """Scan the pairs of blob and rule version that ``ledger`` lacks; append what is found."""
     spark = versions.sparkSession
-    source = versions.select(F.col(key).alias("key"), F.coalesce(F.col(content), F.lit("")).alias("text")) \
-        .withColumn("blob", blob_of("text"))
+    # The key as text and whether it is NULL: plain equalities, so that the grouping and the join of rows by key
+    # and blob share one shuffle.
+    source = versions.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.col(key).isNull().alias("none"),
+                             F.coalesce(F.col(content), F.lit("")).alias("text")).withColumn("blob", blob_of("text"))
     wanted = F.array(*[F.lit(r.key) for r in rules])
-    todo = source.groupBy("blob").agg(F.min("key").alias("key"))
+    todo = source.groupBy("blob").agg(F.min(F.struct("none", "key")).alias("at")).select("blob", "at.key", "at.none")
     if _exists(spark, ledger):
         seen = spark.read.parquet(ledger).select("blob", F.explode("scanned").alias("rule")) \
             .groupBy("blob").agg(F.collect_set("rule").alias("seen"))
@@ -127,9 +129,9 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str, content: str,
         todo = todo.withColumn("missing", wanted)
     # Text is fetched by the key of one holder of the blob: only small rows take part in the grouping.
     # Rows that repeat a key and a content are combined before they move.
-    todo = todo.withColumnRenamed("blob", "todo_blob").withColumnRenamed("key", "todo_key").hint("shuffle_hash")
-    single = source.groupBy("key", "blob").agg(F.first("text").alias("text"))
-    held = single.join(todo, F.col("key").eqNullSafe(F.col("todo_key")) & (F.col("blob") == F.col("todo_blob")))
+    by = ["key", "none", "blob"]
+    single = source.groupBy(*by).agg(F.first("text").alias("text"))
+    held = single.join(todo.hint("shuffle_hash"), by)
     found = [F.when(F.array_contains("missing", r.key), _spans("text", r, i)).otherwise(_nothing())
              for i, r in enumerate(rules)]
     held.select("blob", F.col("missing").alias("scanned"), F.concat(*found).alias("findings")) \
