@@ -4,6 +4,9 @@ The checks are one DataFrame of rows ``(check_name, value, rule, passed)``
 built from global aggregates (each a partial aggregate; no row reaches the
 driver).  ``enforce_gate`` is the only action: it fetches the failing rows
 (at most one per check) and raises.
+
+Where the staged tables have just been written, L1-L4 come from metrics observed
+in the write jobs (``write_metrics``, ``measured_report``), and only L5 reads tables again.
 """
 
 from __future__ import annotations
@@ -50,20 +53,45 @@ def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(orders.select("order_id"), "order_id", "left_anti")
 
 
+def _value_checks() -> dict[str, list[tuple[str, F.Column]]]:
+    """L3/L4: conditions that no row of a table may satisfy."""
+    return {"order_items": [("nonpositive_or_null_price", F.col("price").isNull() | (F.col("price") <= 0))],
+            "orders": [("null_purchase_timestamp", F.col("order_purchase_timestamp").isNull())]}
+
+
 def dq_report(m: Marketplace, min_rows: dict[str, int] | None = None) -> DataFrame:
     """L1-L5 as one report DataFrame; each table is scanned once for its checks."""
     limits = dict(MIN_ROWS, **(min_rows or {}))
-    extra = {
-        "order_items": [zero_check("nonpositive_or_null_price", F.col("price").isNull() | (F.col("price") <= 0))],
-        "orders": [zero_check("null_purchase_timestamp", F.col("order_purchase_timestamp").isNull())],
-    }
+    extra = {t: [zero_check(*c) for c in checks] for t, checks in _value_checks().items()}
     parts = [_checks(getattr(m, t), [min_rows_check(t, n)] + extra.get(t, [])) for t, n in limits.items()]
     parts += [_checks(getattr(m, t), checks) for t, checks in extra.items() if t not in limits]
-    parts.append(_checks(orphan_items(m.order_items, m.orders),
-                         [("orphan_order_items", F.count(F.lit(1)), "= 0", lambda v: v == 0)]))
+    parts.append(orphan_check(m))
     return reduce(DataFrame.unionByName, parts)
 
 
+def orphan_check(m: Marketplace) -> DataFrame:
+    """L5 as a one-row report."""
+    return _checks(orphan_items(m.order_items, m.orders), [("orphan_order_items", F.count(F.lit(1)), "= 0", lambda v: v == 0)])
+
+
+def write_metrics(table: str) -> list[F.Column]:
+    """What is measured while a staged table is written: its rows, and for each L3/L4 check the rows that fail it."""
+    return [F.count(F.lit(1)).alias("rows"),
+            *[F.count(F.when(condition, 1)).alias(name) for name, condition in _value_checks().get(table, [])]]
+
+
+def measured_report(spark: SparkSession, metrics: dict[str, dict[str, int]], min_rows: dict[str, int] | None = None) -> DataFrame:
+    """L1-L4 from the metrics of the staging writes, in the shape of ``dq_report``: no table is read."""
+    limits = dict(MIN_ROWS, **(min_rows or {}))
+    rows = []
+    for table in {**limits, **_value_checks()}:
+        seen = metrics[table]
+        if table in limits:
+            rows.append((f"rows:{table}", seen["rows"], f">= {limits[table]}", seen["rows"] >= limits[table]))
+        rows += [(name, seen[name], "= 0", seen[name] == 0) for name, _ in _value_checks().get(table, [])]
+    return spark.createDataFrame(rows, "check_name string, value long, rule string, passed boolean")
+
+
 def schema_exists(spark: SparkSession, database: str) -> bool:
     """Catalog lookup."""
     return spark.catalog.databaseExists(database)

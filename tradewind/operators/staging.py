@@ -17,18 +17,27 @@ PRODUCT_SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "
                  "product_photos_qty")
 
 
-def exact_money(raw: DataFrame, col: str) -> Column:
-    """Money without any rounding: text that is no number becomes NULL; a number with more
-    digits than the type holds stops the job instead of being cut."""
+# Text that names no finite number.
+NOT_FINITE = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+
+
+def exact_money(raw: DataFrame, col: str, table: str, keys: tuple[str, ...] = ("order_id",)) -> Column:
+    """Money without any rounding.
+
+    Text that is no number, and NaN or an infinity, become NULL, which the gate counts for
+    prices.  A number with more digits than the type holds stops the job, naming table,
+    column and row, instead of being cut."""
     kind = raw.schema[col].dataType
     value = F.col(col).try_cast(MONEY)
     if isinstance(kind, T.DecimalType) and kind.scale <= 6 and kind.precision - kind.scale <= 22:
         return value.alias(col)
     number = F.col(col).try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & ~F.col(col).cast("string").rlike(NOT_FINITE)
     whole = F.col(col).try_cast("decimal(38,16)")
-    lost = number.isNotNull() & (value.isNull() | (whole.isNotNull() & (whole != value)))
-    said = F.concat(F.lit(f"{col} needs more digits than {MONEY} holds: "), F.col(col).cast("string"))
-    return F.when(lost, F.raise_error(said).cast(MONEY)).otherwise(value).alias(col)
+    lost = finite & (value.isNull() | (whole.isNotNull() & (whole != value)))
+    row = [x for k in keys for x in (F.lit(f" {k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL")))]
+    said = F.concat(F.lit(f"{table}.{col} needs more digits than {MONEY} holds: "), F.col(col).cast("string"), F.lit(" at"), *row)
+    return F.when(lost, F.raise_error(said).cast(MONEY)).when(finite, value).alias(col)
 
 
 def clean_sellers(raw: DataFrame) -> DataFrame:
@@ -63,7 +72,7 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 def clean_order_items(raw: DataFrame, orders: DataFrame) -> DataFrame:
     """Money cast, and only items whose order was staged (semi join)."""
     typed = raw.select("order_id", "order_item_id", "product_id", "seller_id",
-                       exact_money(raw, "price"), exact_money(raw, "freight_value"))
+                       *[exact_money(raw, c, "order_items", ("order_id", "order_item_id")) for c in ("price", "freight_value")])
     return typed.join(orders.select("order_id"), "order_id", "left_semi")
 
 
@@ -71,7 +80,7 @@ def clean_order_payments(raw: DataFrame) -> DataFrame:
     """Installments and value cast; ``payment_sequential`` stays text."""
     return raw.select("order_id", F.col("payment_sequential").cast("string").alias("payment_sequential"),
                       "payment_type", safe_int("payment_installments").alias("payment_installments"),
-                      exact_money(raw, "payment_value"))
+                      exact_money(raw, "payment_value", "order_payments", ("order_id", "payment_sequential")))
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:

@@ -1,22 +1,27 @@
 """End-to-end pipeline: stage -> quality gate -> marts -> star schema -> exports.
 
-One SparkSession, one driver program.  Staged tables are written once to the
-``staging`` database (parquet; optionally the order-grain tables bucketed on
-``order_id`` so items, orders and payments join without a shuffle) and every
+One SparkSession, one driver program.  Staged tables are written once, as a version
+of their own (parquet; optionally the order-grain tables bucketed on
+``order_id`` so items, orders and payments join without a shuffle), and every
 later step reads them back from storage, so a lost executor never forces
-recomputation of the ingest.  Exports are written with row counts observed in the same job.
+recomputation of the ingest.  The gate takes row counts and value checks from the write jobs
+and reads tables for the orphan check alone; the ``staging`` database is then switched to
+the new version.  Exports are written with row counts observed in the same job.
 """
 
 from __future__ import annotations
 
+import re
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators import category, churn, customer, quality, seller, staging, star
-from tradewind.session import intermediates, materialize
+from tradewind.session import intermediates, materialize, remove
 from tradewind.sources.sinks import write_observed
 from tradewind.sources.tables import Marketplace, RawMarketplace
 
@@ -59,9 +64,25 @@ def _concurrently(steps: dict, workers: int) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
+@dataclass(frozen=True)
+class StagedRun:
+    """One version of the staging tables: its database and what its write jobs observed, per table."""
+
+    database: str
+    metrics: dict[str, dict[str, int]]
+
+    @property
+    def counts(self) -> dict[str, int]:
+        return {name: seen["rows"] for name, seen in self.metrics.items()}
+
+
 def write_staging(spark: SparkSession, raw: RawMarketplace, root: str, buckets: int | None = None,
-                  bucketed: bool = False, workers: int = 4) -> dict[str, int]:
-    """A4: (re)create the staging database and materialise every cleaned table.
+                  bucketed: bool = False, workers: int = 4, publish: bool = True) -> StagedRun:
+    """A4: materialise every cleaned table as a new version, in a database and folder of its own.
+
+    Nothing that exists is touched while the tables are written, so readers keep the
+    published version, and two runs don't meet.  If writing fails, the new version is
+    dropped.  ``publish`` then points the ``staging`` database at it (see ``publish_staging``).
 
     With ``bucketed`` the order-grain tables share ``buckets`` buckets on
     ``order_id``: the item-order-payment joins then need no exchange.  It is off
@@ -71,10 +92,11 @@ def write_staging(spark: SparkSession, raw: RawMarketplace, root: str, buckets:
     Turn it on when the order key is known not to be hot.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.sql(f"DROP DATABASE IF EXISTS {STAGING_DB} CASCADE")
-    spark.sql(f"CREATE DATABASE {STAGING_DB} LOCATION '{root}/{STAGING_DB}'")
+    database = f"{STAGING_DB}_{uuid.uuid4().hex[:12]}"
+    folder = f"{root}/{STAGING_DB}/{database}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
 
-    def write_one(name: str, df: DataFrame) -> int:
+    def write_one(name: str, df: DataFrame) -> dict[str, int]:
         spark.sparkContext.setJobDescription(f"staging.{name}")
         obs = Observation(f"staged_{name}")
         if bucketed and name in ORDER_GRAIN:
@@ -82,28 +104,64 @@ def write_staging(spark: SparkSession, raw: RawMarketplace, root: str, buckets:
             # every task then writes one sorted file for one bucket, in parallel, instead of
             # every task writing a file for every bucket.
             df = df.repartition(buckets, "order_id")
-        writer = (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
-                    .option("path", f"{root}/{STAGING_DB}/{name}"))
+        writer = (df.observe(obs, *quality.write_metrics(name)).write.mode("overwrite").format("parquet")
+                    .option("path", f"{folder}/{name}"))
         if bucketed and name in ORDER_GRAIN:
             writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
-        writer.saveAsTable(f"{STAGING_DB}.{name}")
-        return int(obs.get["rows"])
+        writer.saveAsTable(f"{database}.{name}")
+        return {k: int(v) for k, v in obs.get.items()}
+
+    try:
+        tables = dict(staging.stage_all(raw).items())
+        done = _concurrently({n: (lambda n=n, df=df: write_one(n, df)) for n, df in tables.items()}, workers)
+    except BaseException:
+        drop_version(spark, database)
+        raise
+    run = StagedRun(database, {n: seen for n, (seen, _) in done.items()})
+    if publish:
+        publish_staging(spark, run)
+    return run
+
+
+def drop_version(spark: SparkSession, database: str) -> None:
+    """Drop a version's tables and files (its tables are external, so files are deleted here)."""
+    rows = spark.sql(f"DESCRIBE DATABASE {database}").collect()
+    where = next(r["info_value"] for r in rows if r["info_name"] == "Location")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    remove(spark, where)
+
+
+def _versions(spark: SparkSession) -> tuple[str | None, str | None]:
+    """The published version and the one before it, from the properties of the staging database."""
+    rows = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED {STAGING_DB}").collect()}
+    found = dict(re.findall(r"\((version|previous),(\w+)\)", rows.get("Properties", "").replace(" ", "")))
+    return found.get("version"), found.get("previous")
+
+
+def publish_staging(spark: SparkSession, run: StagedRun) -> None:
+    """Point the views of the ``staging`` database at a written version.
 
-    tables = dict(staging.stage_all(raw).items())
-    counts = {n: v for n, (v, _) in _concurrently(
-        {n: (lambda n=n, df=df: write_one(n, df)) for n, df in tables.items()}, workers).items()}
-    return counts
+    The version that was published until now stays, for readers who are at it; the one
+    before that is dropped."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING_DB}")
+    current, previous = _versions(spark)
+    for name in run.metrics:
+        spark.sql(f"CREATE OR REPLACE VIEW {STAGING_DB}.{name} AS SELECT * FROM {run.database}.{name}")
+    spark.sql(f"ALTER DATABASE {STAGING_DB} SET DBPROPERTIES ('version' = '{run.database}', 'previous' = '{current or ''}')")
+    if previous and previous not in (current, run.database) and spark.catalog.databaseExists(previous):
+        drop_version(spark, previous)
 
 
-def read_staging(spark: SparkSession) -> Marketplace:
-    """A5: staged-table scans."""
-    return Marketplace(**{name: spark.table(f"{STAGING_DB}.{name}") for name in Marketplace.__dataclass_fields__})
+def read_staging(spark: SparkSession, database: str = STAGING_DB) -> Marketplace:
+    """A5: staged-table scans, of the published version or of a given one."""
+    return Marketplace(**{name: spark.table(f"{database}.{name}") for name in Marketplace.__dataclass_fields__})
 
 
 def run_pipeline(spark: SparkSession, raw: RawMarketplace, root: str, *, min_rows: dict[str, int] | None = None,
                  export_format: str = "csv", bucketed: bool = False, workers: int = 4) -> dict[str, dict]:
     """Run every step; returns row counts and wall seconds per step.  Raises
-    ``QualityGateError`` (L7) before any mart is written when a check fails.
+    ``QualityGateError`` (L7) before any mart is written when a check fails; the published
+    staging version is then the one before, and the rejected one is kept in the database that the error names.
 
     Independent writes (the staged tables; then the marts and star tables) are
     submitted as concurrent jobs from ``workers`` driver threads; per-step seconds
@@ -115,15 +173,21 @@ def run_pipeline(spark: SparkSession, raw: RawMarketplace, root: str, *, min_row
     t0 = time.perf_counter()
     sc.setJobDescription("staging")
     # What building ``raw`` writes belongs to the caller, who may use ``raw`` again.
-    counts.update({f"staging.{k}": v for k, v in write_staging(spark, raw, root, bucketed=bucketed, workers=workers).items()})
+    run = write_staging(spark, raw, root, bucketed=bucketed, workers=workers, publish=False)
+    counts.update({f"staging.{k}": v for k, v in run.counts.items()})
     timings["staging"] = time.perf_counter() - t0
 
     t0 = time.perf_counter()
     sc.setJobDescription("quality_gate")
-    m = read_staging(spark)
-    if not quality.schema_exists(spark, STAGING_DB):            # L6
+    m = read_staging(spark, run.database)
+    if not quality.schema_exists(spark, run.database):          # L6
         raise quality.QualityGateError("staging database missing")
-    quality.enforce_gate(quality.dq_report(m, min_rows))       # L1-L5, L7
+    try:
+        quality.enforce_gate(quality.measured_report(spark, run.metrics, min_rows))   # L1-L4, L7: no scan
+        quality.enforce_gate(quality.orphan_check(m))                                 # L5
+    except quality.QualityGateError as e:
+        raise quality.QualityGateError(f"{e}; the staged tables are kept in {run.database}") from e
+    publish_staging(spark, run)
     timings["quality_gate"] = time.perf_counter() - t0
 
     def export(name: str, build) -> int:
