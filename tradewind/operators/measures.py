@@ -8,6 +8,8 @@ the choice is stated in the function's docstring.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,20 @@ def _exact(c: str | Column) -> Column:
     return col.cast(MONEY)
 
 
+def _revenue(sales: DataFrame) -> Column:
+    """The exact revenue of fact rows, or the sums of a rollup grain."""
+    return F.col("revenue") if "revenue" in sales.columns else _exact("gross_revenue")
+
+
+def _items(sales: DataFrame) -> Column:
+    return F.sum("items_sold") if "items_sold" in sales.columns else F.count(F.lit(1))
+
+
+def _with(sales: DataFrame, dimension: DataFrame | None, key: str, column: str) -> DataFrame:
+    """``sales`` with ``column``: a rollup's cells have it, fact rows get it from the dimension."""
+    return sales if dimension is None else sales.join(dimension.select(key, column), key, "left")
+
+
 def _whole() -> Window:
     """Window over a whole, already aggregated table (rows bounded by tiers, states or
     calendar months — never by the data volume)."""
@@ -41,18 +57,71 @@ def _pct(num: Column, den: Column, places: int = 2) -> Column:
     return round_half_up(F.try_divide(num.cast("double"), den.cast("double")) * 100.0, places)
 
 
+# ---------------------------------------------------------------- stored rollup
+
+ROLLUP_MONEY = "decimal(38,2)"
+CELL_KEYS = ("order_date", "customer_state", "seller_state", "category_name_en")
+ROLLUP_CELLS_SCHEMA = [("order_date", "DATE"), ("customer_state", "VARCHAR"), ("seller_state", "VARCHAR"),
+                       ("category_name_en", "VARCHAR"), ("revenue", "DOUBLE"), ("items_sold", "BIGINT")]
+ROLLUP_ORDERS_SCHEMA = [("order_id", "KEY"), ("order_date", "DATE"), ("revenue", "DOUBLE"), ("items_sold", "BIGINT")]
+
+
+@dataclass(frozen=True)
+class SalesRollup:
+    """Sums of the fact at the two grains that the overview measures need, both with
+    ``revenue`` (exact, NULL if none is known) and ``items_sold``.
+
+    ``cells``: one row per (day, customer state, seller state, category), bounded by the
+    calendar and the fixed lists, however many items were sold.  ``orders``: one row per
+    (order, day), since distinct orders cannot be added up over cells."""
+
+    cells: DataFrame
+    orders: DataFrame
+
+
+def rollup_of(fact: DataFrame, customers: DataFrame, sellers: DataFrame, products: DataFrame) -> DataFrame:
+    """Both grains from one pass over the fact: two grouping sets, each combined map-side before the shuffle,
+    so a hot order, seller or category does not load one task.  ``grain`` is 'order' or 'cell'.
+
+    The customers, sellers and products must have unique keys (they are the "one" sides of the star);
+    an item without one of them has NULL there."""
+    sold = fact.select("order_id", "order_date", "customer_id", "seller_id", "product_id",
+                       _exact("gross_revenue").alias("revenue"))
+    rows = (sold.join(sellers.select("seller_id", "seller_state"), "seller_id", "left")
+                .join(products.select("product_id", "category_name_en"), "product_id", "left")
+                .join(customers.select("customer_id", "customer_state"), "customer_id", "left"))
+    keys = ["order_id", *CELL_KEYS]
+    sums = rows.groupingSets([["order_id", "order_date"], list(CELL_KEYS)], *keys).agg(
+        F.sum("revenue").cast(ROLLUP_MONEY).alias("revenue"), F.count(F.lit(1)).alias("items_sold"),
+        F.grouping("order_id").alias("_cell"))
+    return sums.withColumn("grain", F.when(F.col("_cell") == 1, "cell").otherwise("order")).drop("_cell")
+
+
+def read_rollup(stored: DataFrame) -> SalesRollup:
+    """The two grains of a stored rollup; a reader of one prunes the other's files by ``grain``."""
+    sums = ("revenue", "items_sold")
+    return SalesRollup(stored.where(F.col("grain") == "cell").select(*CELL_KEYS, *sums),
+                       stored.where(F.col("grain") == "order").select("order_id", "order_date", *sums))
+
+
+def sales_rollup(m: Marketplace) -> SalesRollup:
+    """The rollup of the staged tables, written once in the shared folder: the fact is read once for all its measures."""
+    sums = rollup_of(star.fact_orders(m), m.customers, m.sellers, star.dim_product(m))
+    return read_rollup(materialize(sums, "sales-rollup", partition_by=["grain"]))
+
+
 # ---------------------------------------------------------------- market overview (M1-M5)
 
 KPI_YOY_SCHEMA = [("year", "BIGINT"), ("gmv", "DOUBLE"), ("sales", "BIGINT"), ("aov", "DOUBLE"),
                   ("gmv_yoy_pct", "DOUBLE"), ("sales_yoy_pct", "DOUBLE"), ("aov_yoy_pct", "DOUBLE")]
 
 
-def kpi_yoy(fact: DataFrame) -> DataFrame:
+def kpi_yoy(sales: DataFrame) -> DataFrame:
     """M1: GMV (sum of gross revenue), sales (distinct orders) and AOV per calendar
-    year, each with its change against the previous year in %.  The by-year
+    year, each with its change against the previous year in %; from the fact or the rollup's orders.  The by-year
     table has one row per calendar year, so its year-ordered window is tiny."""
-    # Per order first: a hot order is combined map-side, and orders need no distinct count.
-    order = fact.groupBy("order_id", F.year("order_date").alias("year")).agg(F.sum(_exact("gross_revenue")).alias("g"))
+    # Per order and year first (an order repeated on two days counts once), so orders need no distinct count.
+    order = sales.groupBy("order_id", F.year("order_date").alias("year")).agg(F.sum(_revenue(sales)).alias("g"))
     y = order.groupBy("year").agg(F.sum("g").alias("g"), F.count("order_id").alias("sales"))
     w = Window.orderBy("year")
     gmv = F.col("g").cast("double")
@@ -67,9 +136,9 @@ def kpi_yoy(fact: DataFrame) -> DataFrame:
     return conform(out, KPI_YOY_SCHEMA)
 
 
-def daily_revenue(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Revenue per calendar day of the date dimension; days without sales are 0."""
-    day = fact.groupBy("order_date").agg(F.sum(_exact("gross_revenue")).alias("revenue"))
+def daily_revenue(sales: DataFrame, dates: DataFrame) -> DataFrame:
+    """Revenue per calendar day of the date dimension, from the fact or the rollup's cells; days without sales are 0."""
+    day = sales.groupBy("order_date").agg(F.sum(_revenue(sales)).alias("revenue"))
     return (dates.select("date", "day_of_week_num", "day_name")
                  .join(day, dates.date == day.order_date, "left")
                  .select("date", "day_of_week_num", "day_name",
@@ -115,13 +184,13 @@ def revenue_by_weekday(daily: DataFrame) -> DataFrame:
 MATRIX_SCHEMA = [("customer_state", "VARCHAR"), ("month", "DATE"), ("revenue", "DOUBLE"), ("level", "BIGINT")]
 
 
-def state_month_matrix(fact: DataFrame, customers: DataFrame) -> DataFrame:
+def state_month_matrix(sales: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """M5: revenue by (customer state, month) with row, column and grand totals
     (CUBE; ``level`` = GROUPING_ID: 0 cell, 1 state total, 2 month total, 3 grand total).
-    The state is the ordering customer's state."""
-    x = fact.join(customers.select("customer_id", "customer_state"), "customer_id", "left")
+    The state is the ordering customer's state.  ``sales``: the rollup's cells, or the fact with ``customers``."""
+    x = _with(sales, customers, "customer_id", "customer_state")
     out = (x.cube("customer_state", F.trunc("order_date", "MM").alias("month"))
-            .agg(F.sum(_exact("gross_revenue")).alias("revenue"), F.grouping_id().alias("level")))
+            .agg(F.sum(_revenue(sales)).alias("revenue"), F.grouping_id().alias("level")))
     return conform(out, MATRIX_SCHEMA)
 
 
@@ -173,10 +242,10 @@ def seller_quadrants(profile: DataFrame) -> DataFrame:
 STATE_REVENUE_SCHEMA = [("seller_state", "VARCHAR"), ("revenue", "DOUBLE"), ("revenue_share_pct", "DOUBLE")]
 
 
-def revenue_by_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
-    """M9: revenue per seller state with its share of the total."""
-    x = fact.join(sellers.select("seller_id", "seller_state"), "seller_id", "left")
-    out = x.groupBy("seller_state").agg(F.sum(_exact("gross_revenue")).alias("revenue"))
+def revenue_by_state(sales: DataFrame, sellers: DataFrame | None = None) -> DataFrame:
+    """M9: revenue per seller state with its share of the total; from the rollup's cells, or the fact with ``sellers``."""
+    x = _with(sales, sellers, "seller_id", "seller_state")
+    out = x.groupBy("seller_state").agg(F.sum(_revenue(sales)).alias("revenue"))
     total = F.sum("revenue").over(_whole())        # over the state rows
     return conform(out.withColumn("revenue_share_pct", _pct(F.col("revenue"), total)), STATE_REVENUE_SCHEMA)
 
@@ -299,11 +368,11 @@ def category_snapshot(trends: DataFrame) -> DataFrame:
 CATEGORY_REVENUE_SCHEMA = [("category_name_en", "VARCHAR"), ("revenue", "DOUBLE"), ("items_sold", "BIGINT")]
 
 
-def revenue_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Lifetime revenue per category label (fact joined to the product dimension)."""
-    x = fact.join(products.select("product_id", "category_name_en"), "product_id", "left")
-    out = x.groupBy("category_name_en").agg(F.sum(_exact("gross_revenue")).alias("revenue"),
-                                             F.count(F.lit(1)).alias("items_sold"))
+def revenue_by_category(sales: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Lifetime revenue per category label of the product dimension; from the rollup's cells, or the fact with ``products``."""
+    x = _with(sales, products, "product_id", "category_name_en")
+    out = x.groupBy("category_name_en").agg(F.sum(_revenue(sales)).alias("revenue"),
+                                            _items(sales).alias("items_sold"))
     return conform(out, CATEGORY_REVENUE_SCHEMA).orderBy(F.col("revenue").desc(), "category_name_en")
 
 
@@ -396,28 +465,38 @@ def _profile(m: Marketplace) -> DataFrame:
 
 
 def _growth(m: Marketplace) -> DataFrame:
-    daily = materialize(seller.daily_seller_revenue(m), "seller-daily")
-    return seller.seller_growth(seller.seller_periods(seller.trailing_90d(daily)))
+    return seller.seller_growth(seller.seller_periods(seller.trailing_of(m)))
 
 
 def _cd(m: Marketplace) -> DataFrame:
     return customer.customer_and_delivery(m, sort=False)
 
 
-def _daily(m: Marketplace) -> DataFrame:
-    return daily_revenue(star.fact_orders(m), star.dim_date(m))
+# The measures that one stored rollup answers; ``dates`` is the date dimension.
+FROM_ROLLUP = {
+    "kpi_yoy": lambda r, dates: kpi_yoy(r.orders),
+    "revenue_moving_avg": lambda r, dates: revenue_moving_avg(daily_revenue(r.cells, dates)),
+    "peak_day": lambda r, dates: peak_day(daily_revenue(r.cells, dates)),
+    "revenue_by_weekday": lambda r, dates: revenue_by_weekday(daily_revenue(r.cells, dates)),
+    "state_month_matrix": lambda r, dates: state_month_matrix(r.cells),
+    "revenue_by_state": lambda r, dates: revenue_by_state(r.cells),
+    "revenue_by_category": lambda r, dates: revenue_by_category(r.cells),
+}
+
+
+def market_overview(m: Marketplace) -> dict[str, DataFrame]:
+    """All measures of ``FROM_ROLLUP`` from one stored rollup, so one scan of the fact."""
+    stored, dates = sales_rollup(m), star.dim_date(m)
+    return {name: fn(stored, dates) for name, fn in FROM_ROLLUP.items()}
 
 
 MEASURES = {
-    "kpi_yoy": lambda m: kpi_yoy(star.fact_orders(m)),
-    "revenue_moving_avg": lambda m: revenue_moving_avg(_daily(m)),
-    "peak_day": lambda m: peak_day(_daily(m)),
-    "revenue_by_weekday": lambda m: revenue_by_weekday(_daily(m)),
-    "state_month_matrix": lambda m: state_month_matrix(star.fact_orders(m), m.customers),
+    **{name: (lambda m, fn=fn: fn(sales_rollup(m), star.dim_date(m))) for name, fn in FROM_ROLLUP.items()},
+    "sales_rollup_cells": lambda m: conform(sales_rollup(m).cells, ROLLUP_CELLS_SCHEMA),
+    "sales_rollup_orders": lambda m: conform(sales_rollup(m).orders, ROLLUP_ORDERS_SCHEMA),
     "seller_kpis": lambda m: seller_kpis(_growth(m)),
     "top20_share": lambda m: top20_share(seller.seller_lifetime_totals(seller.daily_seller_revenue(m))),
     "seller_quadrants": lambda m: seller_quadrants(_profile(m)),
-    "revenue_by_state": lambda m: revenue_by_state(star.fact_orders(m), m.sellers),
     "top_sellers": lambda m: top_sellers(_profile(m)),
     "seller_recent": lambda m: seller_recent(_profile(m)),
     "churn_kpis": lambda m: churn_kpis(churn.churn_risk(m, sort=False)),
@@ -425,7 +504,6 @@ MEASURES = {
     "churn_tier_counts": lambda m: churn_tier_counts(churn.churn_risk(m, sort=False)),
     "category_kpis": lambda m: category_kpis(category_trends_overall(m)),
     "category_snapshot": lambda m: category_snapshot(category_trends_overall(m)),
-    "revenue_by_category": lambda m: revenue_by_category(star.fact_orders(m), star.dim_product(m)),
     "category_rank_monthly": category_rank_monthly,
     "customer_kpis": lambda m: customer_kpis(_cd(m)),
     "delivery_by_state": delivery_by_state,

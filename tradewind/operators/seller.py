@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import category_label, known_mean, round_half_up
 from tradewind.operators.common import conform, item_revenue, mode_of, scalar, valid_orders, with_category
 from tradewind.operators.ranking import COUNT, POS, RANK, RUN, TOTAL, global_positions, ntile
-from tradewind.operators.staging import MONEY
+from tradewind.operators.staging import MONEY, PURCHASE_MONTH
 from tradewind.session import materialize
 from tradewind.sources.tables import Marketplace
 
@@ -95,6 +95,23 @@ def trailing_90d(daily: DataFrame) -> DataFrame:
                  .withColumn("max_date", last))
 
 
+def trailing_of(m: Marketplace) -> DataFrame:
+    """J4 straight from the staged tables, for figures that need the last 90 days alone.
+
+    The last sale day takes the order ids of the items (of known products, as in J1); then only
+    orders of those days meet items, products and translation.  Where the staged orders are
+    partitioned by ``purchase_month``, the scalar prunes their partitions before any file is read."""
+    day = F.to_date("order_purchase_timestamp")
+    valid = valid_orders(m.orders)
+    known = m.order_items.select("order_id", "product_id").join(m.products.select("product_id"), "product_id", "left_semi")
+    sold = valid.select("order_id", day.alias("order_date")).join(known, "order_id", "left_semi")
+    last = scalar(sold, F.max("order_date"))
+    recent = (day >= F.date_sub(last, 90)) & (day < last)
+    if PURCHASE_MONTH in m.orders.columns:
+        recent = (F.col(PURCHASE_MONTH) >= F.trunc(F.date_sub(last, 90), "MM")) & (F.col(PURCHASE_MONTH) <= last) & recent
+    return daily_seller_revenue(m.replace(orders=valid.where(recent))).withColumn("max_date", last)
+
+
 def seller_periods(trailing: DataFrame) -> DataFrame:
     """90-day totals, last-30 and prior-30 revenue, top category, active days.
 

@@ -13,6 +13,8 @@ from tradewind.sources.tables import LazyTables, Marketplace, RawMarketplace
 MONEY = "decimal(28,6)"
 ORDER_TIMES = ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
                "order_delivered_customer_date", "order_estimated_delivery_date")
+#: First day of the purchase month: the column that stored orders are partitioned by.
+PURCHASE_MONTH = "purchase_month"
 PRODUCT_SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
                  "product_photos_qty")
 
@@ -69,6 +71,13 @@ def clean_orders(raw: DataFrame) -> DataFrame:
                        *[F.col(c).try_cast("timestamp_ntz").alias(c) for c in ORDER_TIMES]))
 
 
+def by_purchase_month(orders: DataFrame) -> DataFrame:
+    """Orders with their purchase month, one or several partitions a month: AQE sizes them, so a month
+    that holds most orders is written by many tasks and small months share one."""
+    return orders.withColumn(PURCHASE_MONTH, F.to_date(F.trunc("order_purchase_timestamp", "MM"))) \
+        .hint("rebalance", PURCHASE_MONTH)
+
+
 def clean_order_items(raw: DataFrame, orders: DataFrame) -> DataFrame:
     """Money cast, and only items whose order was staged (semi join)."""
     typed = raw.select("order_id", "order_item_id", "product_id", "seller_id",

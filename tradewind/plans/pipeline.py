@@ -89,7 +89,8 @@ def write_staging(spark: SparkSession, raw: RawMarketplace, root: str, buckets:
     by default: a bucket is read by one task and cannot be split, so one order
     holding a large share of all items would make one task do that share.
     Without it the joins shuffle and AQE's skew-join splits a hot partition.
-    Turn it on when the order key is known not to be hot.
+    Turn it on when the order key is known not to be hot.  Without it the orders are
+    partitioned by purchase month, which date ranges prune.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     database = f"{STAGING_DB}_{uuid.uuid4().hex[:12]}"
@@ -104,10 +105,14 @@ def write_staging(spark: SparkSession, raw: RawMarketplace, root: str, buckets:
             # every task then writes one sorted file for one bucket, in parallel, instead of
             # every task writing a file for every bucket.
             df = df.repartition(buckets, "order_id")
+        elif name == "orders":
+            df = staging.by_purchase_month(df)
         writer = (df.observe(obs, *quality.write_metrics(name)).write.mode("overwrite").format("parquet")
                     .option("path", f"{folder}/{name}"))
         if bucketed and name in ORDER_GRAIN:
             writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
+        elif name == "orders":
+            writer = writer.partitionBy(staging.PURCHASE_MONTH)
         writer.saveAsTable(f"{database}.{name}")
         return {k: int(v) for k, v in obs.get.items()}
 

@@ -122,9 +122,9 @@ REGISTRY.update({
     "trailing_90d": _staged(lambda m: conform(seller.trailing_90d(_daily(m)), seller.TRAILING_SCHEMA)),
     "seller_periods": _staged(lambda m: conform(seller.seller_periods(seller.trailing_90d(_daily(m))),
                                                 seller.PERIODS_SCHEMA)),
-    "seller_growth": _staged(lambda m: conform(seller.seller_growth(seller.seller_periods(
-        seller.trailing_90d(_daily(m)))), seller.GROWTH_SCHEMA)),
-    "seller_top_category": _staged(lambda m: conform(seller.seller_periods(seller.trailing_90d(_daily(m))),
+    "seller_growth": _staged(lambda m: conform(seller.seller_growth(seller.seller_periods(seller.trailing_of(m))),
+                                               seller.GROWTH_SCHEMA)),
+    "seller_top_category": _staged(lambda m: conform(seller.seller_periods(seller.trailing_of(m)),
                                                      seller.TOP_CATEGORY_SCHEMA)),
     "order_value_stats": _staged(lambda m: conform(seller.order_value_stats(m), seller.ORDER_VALUE_STATS_SCHEMA)),
     "order_value_stats_odd_money": _staged(lambda m: conform(seller.order_value_stats(m), seller.ORDER_VALUE_STATS_SCHEMA),

@@ -66,18 +66,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, label: str = "stage"):
+def materialize(df, label: str = "stage", partition_by: list[str] | None = None):
     """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint
     folder and reading it back.
 
     One job computes the rows once (an eager ``checkpoint()`` computes them
     twice: once to count, once to save), the files are columnar and survive the
-    loss of any executor, and later reads are vectorised scans.
+    loss of any executor, and later reads are vectorised scans.  Readers that filter on
+    ``partition_by`` columns leave out the other folders.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    # The given schema: an empty table written by partition has no files to tell it.
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
