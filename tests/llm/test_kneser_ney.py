@@ -68,6 +68,7 @@ ODD = [None, "", " \t\n", "THE the", "unseen words only", "the unseen of", "\x0b
 def test_query_equals_the_plain_model(spark, tmp_path, monkeypatch, small):
     if small:                                 # many blocks, shards and large counts
         monkeypatch.setattr(kn, "SHARD_TOKENS", 200)
+        monkeypatch.setattr(kn, "VOCABULARY_BYTES", 500)
     texts = corpus(300, 1) + ODD
     docs_of(spark, texts, extra=True).selectExpr("*", "'x' AS n_tokens", "'x' AS base_score") \
         .write.parquet(f"{tmp_path}/documents.parquet")
@@ -105,3 +106,31 @@ def test_blocks_are_packed_without_loss():
     assert (kn._unpacked(kn._packed(keys, True), "<u8", True) == keys).all()
     counts = rng.integers(0, 1 << 31, 1000).astype(np.uint32)
     assert (kn._unpacked(kn._packed(counts, False), "<u4", False) == counts).all()
+
+
+def test_sums_hold_distinct_keys_and_not_all_blocks(monkeypatch):
+    import pandas as pd
+    monkeypatch.setattr(kn, "HELD_ENTRIES", 50)
+    rng, held, plain = np.random.default_rng(4), [], Counter()
+    whole = kn._summed
+    monkeypatch.setattr(kn, "_summed", lambda k, c: held.append(sum(map(len, k))) or whole(k, c))
+
+    def parts():
+        for _ in range(60):
+            keys = np.unique(rng.integers(0, 90, 30).astype(np.uint64))
+            counts = rng.integers(1, 9, len(keys)).astype(np.uint32)
+            plain.update(dict(zip(keys.tolist(), counts.tolist())))
+            yield pd.DataFrame({"keys": [kn._packed(keys, True)], "counts": [kn._packed(counts, False)]})
+
+    keys, counts = kn._gather(parts())
+    assert dict(zip(keys.tolist(), counts.tolist())) == dict(plain) and (np.diff(keys.astype(np.int64)) > 0).all()
+    assert max(held) <= 2 * 90 + 30                # of some 1,500 entries
+    assert [len(x) for x in kn._gather(iter(()))] == [0, 0]
+
+
+def test_vocabulary_shards_grow_with_the_text(spark, monkeypatch):
+    docs = docs_of(spark, corpus(300, 3))
+    few = kn.train(docs).words
+    monkeypatch.setattr(kn, "VOCABULARY_BYTES", 500)
+    many = kn.train(docs).words
+    assert len(many.starts) > 2 * len(few.starts) - 1 and (many.size, many.tokens) == (few.size, few.tokens)

@@ -16,7 +16,9 @@ workers see, they fetch the files once into their own temporary folder.
 Counting moves packed binary blocks, sorted and delta-coded, that each task has
 summed up before: word counts by hash range, then bigrams by range of the context.
 Contexts with more than half a shard's share of all tokens are spread over
-all shards by the following word.  A task holds one shard.  Files are
+all shards by the following word.  Shards grow in number with the text, and a task sums up
+the blocks of one shard as they arrive, so it holds the shard's distinct words or bigrams
+and a bounded number of block entries, however many blocks there are.  Files are
 written under a temporary name and moved, so a repeated task does no harm.
 
 The probability of word w after context a, with discounts D of three sizes from
@@ -45,6 +47,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -57,6 +60,8 @@ from tradewind.llm.common import batches_of, materialize, shared_path, shuffle_p
 
 #: Distinct words, and bigram occurrences, that a task holds before it passes them on.
 HELD_WORDS, HELD_BIGRAMS = 500_000, 1 << 22
+#: Text bytes per shard of the vocabulary; block entries that a task holds before it sums them up.
+VOCABULARY_BYTES, HELD_ENTRIES = 1 << 30, 1 << 22
 #: Tokens per shard of bigrams; words that a worker remembers; tokens looked up at once.
 SHARD_TOKENS, KNOWN_WORDS, TOGETHER = 1 << 22, 400_000, 1 << 19
 
@@ -160,8 +165,20 @@ def _count_words(docs: DataFrame, bits: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "shard int, keys binary, counts binary")
 
 
-def _gather(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return _summed([_unpacked(k, "<u8", True) for k in pdf["keys"]], [_unpacked(c, "<u4", False) for c in pdf["counts"]])
+def _gather(parts: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of packed blocks.  It is brought up to date whenever the waiting entries outgrow it, so
+    about as many entries are held as it has distinct keys, and each is sorted a few times only."""
+    keys, counts = [np.zeros(0, dtype="<u8")], [np.zeros(0, dtype=np.int64)]
+    summed = waiting = 0
+    for pdf in parts:
+        for k, c in zip(pdf["keys"], pdf["counts"]):
+            keys.append(_unpacked(k, "<u8", True))
+            counts.append(_unpacked(c, "<u4", False))
+            waiting += len(keys[-1])
+            if waiting > max(HELD_ENTRIES, summed):
+                key, count = _summed(keys, counts)
+                keys, counts, summed, waiting = [key], [count], len(key), 0
+    return _summed(keys, counts)
 
 
 @dataclass(frozen=True)
@@ -217,11 +234,11 @@ def _dense(folder: str, name: str, starts: tuple[int, ...], ids: np.ndarray, wid
 
 
 def _vocabulary(docs: DataFrame, folder: str, bits: int) -> Vocabulary:
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        words, counts = _gather(pdf)
+    def merge(key: tuple[Any, ...], parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, counts = _gather(parts)
         _write(folder, f"words-{key[0]}", words)
         _write(folder, f"counts-{key[0]}", counts)
-        return pd.DataFrame({"shard": [key[0]], "n": [len(words)], "tokens": [int(counts.sum())]})
+        yield pd.DataFrame({"shard": [key[0]], "n": [len(words)], "tokens": [int(counts.sum())]})
 
     sizes = _count_words(docs, bits).groupBy("shard").applyInPandas(merge, "shard int, n long, tokens long").collect()
     by = {r["shard"]: r["n"] for r in sizes}
@@ -326,7 +343,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     spark = docs.sparkSession
     docs = docs.select(F.col(text).alias("text"))
     folder = shared_path(spark, "kneser-ney")
-    bits = max(3, (shuffle_partitions(spark) - 1).bit_length())
+    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(3, (shuffle_partitions(spark) - 1).bit_length(), (text_bytes // VOCABULARY_BYTES).bit_length())
     words = _vocabulary(docs, folder, bits)
     shards = 1 << max(bits, (words.tokens // SHARD_TOKENS).bit_length())
     starts = _range_starts(words.size, shards)
@@ -347,9 +365,9 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     heavy = [r["id"] for r in spark.range(1 << bits).mapInPandas(frequent, "id long, count long").collect()]
     hot = np.array(sorted(heavy + ([words.size] if texts > edge else [])), dtype=np.int64)
 
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple[Any, ...], parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         s = key[0]
-        pairs, counts = _gather(pdf)
+        pairs, counts = _gather(parts)
         _write(folder, f"pairs-{s}", pairs)
         # One byte a count; larger ones are listed.
         _write(folder, f"pair-counts-{s}", np.minimum(counts, 255).astype(np.uint8))
@@ -368,18 +386,18 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         shares = np.zeros((len(hot), 3), dtype=np.int64)
         np.add.at(shares, (np.searchsorted(hot, context[spread]), size_[spread]), 1)
         rows.append((-1, shares.tobytes(), np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(np.int64).tobytes(), "sums"))
-        return pd.DataFrame(rows, columns=["shard", "keys", "counts", "kind"])
+        yield pd.DataFrame(rows, columns=["shard", "keys", "counts", "kind"])
 
     merged = materialize(_count_bigrams(docs, words, hot, shards).groupBy("shard")
                          .applyInPandas(merge, "shard int, keys binary, counts binary, kind string"), "kneser-ney-sums")
 
-    def continuations(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, n = _gather(pdf)
+    def continuations(key: tuple[Any, ...], parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, n = _gather(parts)
         own = np.zeros(starts[key[0] + 1] - starts[key[0]], dtype=np.int64)
         own[ids.astype(np.int64) - starts[key[0]]] = n
         _write(folder, f"contexts-{key[0]}", own)
         sizes = np.bincount(np.minimum(n, 5), minlength=6)[1:6]
-        return pd.DataFrame([(int(n.sum()), *sizes.tolist())], columns=["k", "n1", "n2", "n3", "n4", "more"])
+        yield pd.DataFrame([(int(n.sum()), *sizes.tolist())], columns=["k", "n1", "n2", "n3", "n4", "more"])
 
     below = merged.where("kind = 'words'").groupBy("shard") \
         .applyInPandas(continuations, "k long, n1 long, n2 long, n3 long, n4 long, more long") \
