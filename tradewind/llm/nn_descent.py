@@ -22,7 +22,8 @@ Within each label, every distinct vector keeps a list of its ``K`` nearest other
    exactly once and adds to the two nodes' numbers of links; the pairs themselves
    are never written.  Numbers of links are thus exact within components.
 4. Audit: random nodes are compared with all others of their labels, until ``LINKED``
-   nodes that have links (or all nodes) were met.  If less than ``RECALL`` of them have all
+   nodes that have links were met, or ``MOST_AUDITED`` nodes (or all) were asked; its work thus grows with
+   the table, not with its square, also where links are rare.  If less than ``RECALL`` of those met have all
    of their links, further tables and rounds are made, ``ATTEMPTS`` times; after that all pairs of each
    label are compared, in cells, which is quadratic but misses nothing.
 
@@ -55,9 +56,9 @@ from tradewind.llm.vectors import cosines, unit, usable
 K, BUCKET, CHUNK = 8, 128, 512
 #: The chance that a pair at the threshold meets in a start bucket; the share of list entries that must change for another round.
 START, CHANGED = 0.9, 0.01
-#: The audit: nodes compared with all others at first and at a time, nodes with links to meet, the share of
+#: The audit: nodes compared with all others at first, at a time and at most, nodes with links to meet, the share of
 #: these that must have all their links, further attempts.
-AUDITED, AT_ONCE, LINKED, RECALL, ATTEMPTS = 256, 8_192, 300, 0.99, 2
+AUDITED, AT_ONCE, MOST_AUDITED, LINKED, RECALL, ATTEMPTS = 256, 8_192, 65_536, 300, 0.99, 2
 
 _CELL = ["cell_a", "cell_b"]
 
@@ -367,11 +368,12 @@ def _true_links(nodes: DataFrame, asked: DataFrame, threshold: float) -> DataFra
 
 
 def audit(nodes: DataFrame, links: DataFrame, threshold: float, linked: int = LINKED) -> float:
-    """The share of nodes with links, of which random nodes are asked until ``linked`` were met, whose links ``links`` has all."""
+    """The share of nodes with links, of which random nodes are asked until ``linked`` were met, whose links ``links`` has all;
+    1 if none of ``MOST_AUDITED`` random nodes has a link."""
     n = nodes.count()
     place = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     met, whole, at, size = 0, 0, 0.0, AUDITED
-    while met < linked and at < 1 and n:
+    while met < linked and at < 1 and n and at * n < MOST_AUDITED:
         to = min(1.0, at + size / n)
         true = _true_links(nodes, nodes.where((place >= at) & (place < to)), threshold).join(links, "node", "left")
         right = F.coalesce(F.col("links"), F.lit(0)) == F.col("true")
