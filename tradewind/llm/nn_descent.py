@@ -28,7 +28,8 @@ Within each label, every distinct vector keeps a list of its ``K`` nearest other
    label are compared, in cells, which is quadratic but misses nothing.
 
 Hot buckets, much-listed nodes and large components are cut into cells
-(``cells.py``).  Equal vectors are one node with a multiplicity, so a vector that
+(``cells.py``); in 3, cells that pair members with nodes outside.  Vectors of 32-bit
+components move as these and are scaled in the tasks, in double precision.  Equal vectors are one node with a multiplicity, so a vector that
 a third of all rows share is one node and its copies are counted, not compared.
 
 Defined results: NULL labels and vectors that are NULL, zero or hold NULL or
@@ -47,7 +48,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.cells import with_cells
+from tradewind.llm.cells import with_cells, with_facing_cells
 from tradewind.llm.common import materialize
 from tradewind.llm.components import components
 from tradewind.llm.vectors import cosines, unit, usable
@@ -120,11 +121,12 @@ def _stars(hit: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield first, np.flatnonzero(seen)
 
 
-def _compared(cells: DataFrame, keys: list[str], k: int, threshold: float) -> DataFrame:
+def _compared(cells: DataFrame, keys: list[str], k: int, threshold: float, facing: bool = False) -> DataFrame:
     """``u, v, sim, link``: for each row of a cell its best partners there, links and others, if better than
     its list's last; and, with NULL ``sim``, a spanning forest of all links of the cell, ``link`` being true.
 
     Rows have ``node, vector, last_link, last, fresh, side``; a pair needs one fresh row and two sides.
+    The cells are those of ``with_facing_cells`` if ``facing``, else those of ``with_cells``.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         us, vs, ss, held = [], [], [], 0
@@ -145,12 +147,20 @@ def _compared(cells: DataFrame, keys: list[str], k: int, threshold: float) -> Da
                 continue
             node, side, fresh = cell["node"].to_numpy(), cell["side"].to_numpy(), cell["fresh"].to_numpy(dtype=bool)
             m = _matrix(cell["vector"])
-            sims = _similar(m, m, threshold)
-            own, a, b = cell["own"].to_numpy(), int(cell["cell_a"].iloc[0]), int(cell["cell_b"].iloc[0])
-            off = (side[:, None] == side[None, :]) | ~(fresh[:, None] | fresh[None, :])
-            if a != b:
-                off |= own[:, None] == own[None, :]           # pairs of one chunk meet in a cell of their own
-            sims[off] = -2
+            if facing:
+                left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+                across = _similar(m[left], m[right], threshold)
+                across[~(fresh[left][:, None] | fresh[right][None, :])] = -2
+                sims = np.full((len(cell), len(cell)), -2.0)
+                sims[np.ix_(left, right)] = across
+                sims[np.ix_(right, left)] = across.T
+            else:
+                sims = _similar(m, m, threshold)
+                own, a, b = cell["own"].to_numpy(), int(cell["cell_a"].iloc[0]), int(cell["cell_b"].iloc[0])
+                off = (side[:, None] == side[None, :]) | ~(fresh[:, None] | fresh[None, :])
+                if a != b:
+                    off |= own[:, None] == own[None, :]       # pairs of one chunk meet in a cell of their own
+                sims[off] = -2
             hit = sims >= threshold
             for first, rest in _stars(hit):
                 add(node[rest], np.full(len(rest), node[first]), np.full(len(rest), np.nan))
@@ -299,9 +309,9 @@ def enlarged(nodes: DataFrame, lists: DataFrame, parts: DataFrame, threshold: fl
         else:
             rows = rows.withColumn("fresh", F.col("side") == 1)
         busy = rows.where("fresh").select("w").distinct()
-        cells = with_cells(rows.join(busy, "w", "left_semi"), ["w"], "node", CHUNK)
+        cells = with_facing_cells(rows.join(busy, "w", "left_semi"), ["w"], "side", "node", CHUNK)
         known = _with_last(nodes.select("node", "vector"), lists, k, threshold)
-        found = materialize(_compared(cells.join(known, "node"), ["w"], k, threshold), "nn-found")
+        found = materialize(_compared(cells.join(known, "node"), ["w"], k, threshold, facing=True), "nn-found")
         lists = materialize(_lists(found, lists, k, threshold), "nn-lists")
         before, (parts, joined) = rows, _joined(parts, found)
         if not joined and lists.where("fresh").count() < CHANGED * entries:
