@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 
 from tests.llm.test_simhash import roots
 from tradewind.llm import nn_descent as nd
+from tradewind.llm.cells import with_facing_cells
 from tradewind.llm.queries import op3_nn_descent
 from tradewind.llm.vectors import cosines
 
@@ -136,3 +138,37 @@ def test_missed_links_are_found_by_comparing_all(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert nd.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_facing_cells_pair_the_two_sides_once(spark):
+    rows = [(g, i, int(i < left)) for g, (left, n) in enumerate([(3, 40), (20, 20), (0, 9), (25, 70), (1, 2)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "g long, i long, side long")
+    got, largest = {}, {}
+    for r in with_facing_cells(df, ["g"], "side", "i", 8).collect():
+        largest.setdefault((r.g, r.cell_a, r.cell_b), []).append(r)
+    for (g, _, _), cell in largest.items():
+        for a in (r.i for r in cell if r.side == 0):
+            for b in (r.i for r in cell if r.side == 1):
+                got[g, a, b] = got.get((g, a, b), 0) + 1
+    want = {(g, i, j): 1 for g, i, s in rows for h, j, t in rows if g == h and s == 0 and t == 1}
+    assert got == want
+
+
+def test_packed_vectors_of_both_widths():
+    rng = np.random.default_rng(11)
+    for width in (1, 7, 8):
+        m = rng.normal(size=(5, width)).astype(np.float32).astype(np.float64)
+        short = nd._matrix(pd.Series([nd._packed(v, True) for v in m]))
+        assert np.array_equal(short, nd._matrix(pd.Series([nd._packed(v, False) for v in m])))
+
+
+def test_audit_stops_where_links_are_rare(spark, monkeypatch):
+    monkeypatch.setattr(nd, "MOST_AUDITED", 300)
+    asked = []
+    own = nd._true_links
+    monkeypatch.setattr(nd, "_true_links", lambda nodes, some, t: asked.append(some.count()) or own(nodes, some, t))
+    rng = np.random.default_rng(12)
+    nodes = spark.createDataFrame([(i, "1:24", 1, nd._packed(v, True)) for i, v in enumerate(rng.normal(size=(2500, 24)))],
+                                  "node long, grp string, copies long, vector binary")
+    assert nd.audit(nodes, spark.createDataFrame([], "node long, links long"), 0.93) == 1.0
+    assert 300 <= sum(asked) < 2000

@@ -47,6 +47,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.llm.cells import with_cells, with_facing_cells
 from tradewind.llm.common import materialize
@@ -81,7 +82,17 @@ def _nodes(rows: DataFrame) -> DataFrame:
                 "copies", "vector")
 
 
+def _packed(vector: np.ndarray, short: bool) -> bytes:
+    """A vector as ``_matrix`` reads it: a mark and its 32-bit components, or the 64-bit ones of its unit vector."""
+    if short:
+        return b"f" + np.asarray(vector, dtype=np.float32).tobytes()
+    return unit(np.asarray(vector, dtype=np.float64)[None, :])[0].tobytes()
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
+    """Unit rows of packed vectors, which are alike in kind; an odd number of bytes tells the mark."""
+    if len(vectors.iloc[0]) % 2:
+        return unit(np.stack([np.frombuffer(v, dtype=np.float32, offset=1) for v in vectors]).astype(np.float64))
     return np.stack([np.frombuffer(v, dtype=np.float64) for v in vectors])
 
 
@@ -356,8 +367,8 @@ def _true_links(nodes: DataFrame, asked: DataFrame, threshold: float) -> DataFra
     """``node, true``: links (with copies) of the nodes ``asked``, which the driver holds, with all of their labels."""
     by_grp: dict[str, list] = {}
     for r in asked.select("node", "grp", "vector").toLocalIterator():
-        by_grp.setdefault(r["grp"], []).append((r["node"], np.frombuffer(r["vector"], dtype=np.float64)))
-    held = {g: (np.array([n for n, _ in rows]), np.stack([v for _, v in rows])) for g, rows in by_grp.items()}
+        by_grp.setdefault(r["grp"], []).append((r["node"], r["vector"]))
+    held = {g: (np.array([n for n, _ in rows]), _matrix(pd.Series([v for _, v in rows]))) for g, rows in by_grp.items()}
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -398,10 +409,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, key: str = "
     rows = usable(embeddings, key, vector, label).withColumnRenamed(label, "label").where("label IS NOT NULL")
     rows = materialize(rows, "nn-rows")
     width = rows.agg(F.max(F.size("vector"))).first()[0] or 1
+    short = isinstance(embeddings.schema[vector].dataType.elementType, T.FloatType)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(vector=[unit(np.asarray(v, dtype=np.float64)[None, :])[0].tobytes() for v in pdf["vector"]])
+            yield pdf.assign(vector=[_packed(v, short) for v in pdf["vector"]])
 
     nodes = materialize(_nodes(rows).mapInPandas(pack, "node long, grp string, copies long, vector binary"), "nn-nodes")
     lists, parts, seed = None, nodes.select("node", F.col("node").alias("component")), 0
