@@ -44,7 +44,7 @@ from tradewind.llm.vectors import cosines, unit, usable
 #: Pivots and places kept; the share of a block that is reranked, and its least number of rows.
 PIVOTS, PREFIX, RERANK, RERANK_ROWS = 256, 64, 0.15, 256
 #: Rows of an index block and of a query block.
-BLOCK, QUERY_BLOCK = 4096, 512
+BLOCK, QUERY_BLOCK = 4096, 4096
 #: Vectors that are candidates for pivots.
 SAMPLE = 4096
 
