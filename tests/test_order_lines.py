@@ -75,10 +75,15 @@ def test_tasks_hold_a_bounded_number_of_lines(spark, folder, monkeypatch):
     monkeypatch.setattr(testdata, "LINES_PER_TASK", 405)
     t = testdata.ParquetTables(spark, d)
     assert t.line_orders[1] == []
-    for df in (testdata.typed_order_items(t),):
+    for df in (testdata.typed_order_items(t), testdata.typed_order_payments(t)):
         assert df.rdd.getNumPartitions() == len(lines) // 405 + 1
 
 
+def test_payments_take_one_exchange(spark, folder):
+    paid = star.payments_deduped(testdata.load_testdata(spark, folder[0]).order_payments)
+    assert paid._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_no_lines(spark, folder, tmp_path):
     spark.read.parquet(f"{folder[0]}/lineitem.parquet").limit(0).write.parquet(str(tmp_path / "lineitem.parquet"))
     t = testdata.ParquetTables(spark, str(tmp_path))
