@@ -87,3 +87,14 @@ def test_evolution_beats_or_equals_best_fit_decreasing():
         assert sorted(i for b in best for i in b) == list(range(120))
         assert max(sum(sizes[i] for i in b) for b in best) <= 2048
         assert packing._fitness(best, sizes, 2048) >= packing._fitness(first, sizes, 2048)
+
+
+def test_learned_chunks_are_not_gathered_again(monkeypatch):
+    cached = packing.CachedTokenizer(P.path("byte_bpe_50k.json"))
+    texts = ["one two  two\nthree", "x" * 50 + " two", None, "one <|endoftext|> two", "a\tb", "one four"]
+    want = [np.array(cached.tok.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    asked = []
+    learn = cached._learn
+    monkeypatch.setattr(cached, "_learn", lambda unseen: (asked.append(unseen), learn(unseen)))
+    assert list(cached.encode(texts)) == want and list(cached.encode(texts)) == want
+    assert "one" in asked[0] and asked[1] == {"x" * 50} and cached.known.unseen == []

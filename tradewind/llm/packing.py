@@ -58,6 +58,18 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class _Known(dict):
+    """Ids of chunks.  Asked for another chunk, it notes that in ``unseen`` and answers None, so that a text
+    takes one lookup a chunk, learned or not."""
+
+    def __init__(self):
+        super().__init__()
+        self.unseen: list[str] = []
+
+    def __missing__(self, chunk: str) -> None:
+        self.unseen.append(chunk)
+
+
 class CachedTokenizer:
     """Ids of texts as little-endian unsigned 32-bit bytes, with a bounded cache of chunks.
 
@@ -79,7 +91,7 @@ class CachedTokenizer:
     _OTHER_SPACE = re.compile(r"[^\S \n]")
 
     def __init__(self, path: str, entries: int = 1_000_000, longest: int = 40):
-        self.tok, self.entries, self.longest, self.known = _tokenizer(path), entries, longest, {}
+        self.tok, self.entries, self.longest, self.known = _tokenizer(path), entries, longest, _Known()
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         # Byte-level tokens are written with one character per byte.
@@ -102,10 +114,8 @@ class CachedTokenizer:
         cuts, raw = [0, *(4 * (cuts + 1)).tolist()], ids.tobytes()
         return [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
-    def _learn(self, wanted: set[str]) -> None:
-        if len(self.known) > self.entries:
-            self.known.clear()
-        new = [c for c in wanted if c not in self.known and len(c) <= self.longest]
+    def _learn(self, unseen: set[str]) -> None:
+        new = [c for c in unseen if len(c) <= self.longest]
         # Joined chunks must begin with white space, and the one before must not end with it.
         inner = [c for c in new if c[0] in " \n" and c[-1] not in " \n"]
         outer = [c for c in new if c[0] not in " \n" or c[-1] in " \n"]
@@ -119,17 +129,28 @@ class CachedTokenizer:
         return (self._CHUNKS if self._NOT_PLAIN.search(text) else self._WORDS).findall(text)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [self._split(t or "") for t in texts]
-        self._learn(set().union(*(c for c in split if c)))
         known = self.known
-        for t, chunks in zip(texts, split):
+        if len(known) > self.entries:
+            known.clear()
+        split, found = [self._split(t or "") for t in texts], []
+        for chunks in split:
+            before = len(known.unseen)
+            ids = list(map(known.__getitem__, chunks or ()))
+            found.append(b"".join(ids) if len(known.unseen) == before else ids)
+        self._learn(set(known.unseen))
+        known.unseen.clear()
+        for t, chunks, ids in zip(texts, split, found):
             if chunks is None:
                 yield self._encode([t])[0]
-                continue
-            try:
-                yield b"".join(map(known.__getitem__, chunks))
-            except KeyError:                                  # a long chunk
-                yield b"".join([known[c] if c in known else self._encode([c])[0] for c in chunks])
+            elif isinstance(ids, bytes):
+                yield ids
+            else:
+                at = -1
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    learned = known.get(chunks[at])
+                    ids[at] = self._encode([chunks[at]])[0] if learned is None else learned      # a long chunk is not kept
+                yield b"".join(ids)
 
 
 @lru_cache(maxsize=2)
