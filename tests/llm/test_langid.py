@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -117,3 +118,13 @@ def test_a_language_of_equal_rows_is_learned(spark):
     rows = [(7, "bana nab ana ban", "aa", "s", 1)] * 4000 + [(i, "xyzzy zyx yxy " * 50, "bb", "s", 1) for i in range(28)]
     model = langid.learn(spark.createDataFrame(rows, DOC_SCHEMA))
     assert [name for name, _ in model] == ["aa", "bb"] and model[0][1] == b" bana nab ana ban "
+
+
+def test_automata_are_built_without_copies_of_the_table():
+    rng = random.Random(5)
+    model = tuple((f"l{i}", bytes(rng.choices(range(256), k=3_000))) for i in range(12))
+    tracemalloc.start()
+    own = langid.Parser(model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert own.table.dtype == np.int32 and peak < 2.5 * own.table.nbytes

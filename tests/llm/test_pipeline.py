@@ -1,5 +1,7 @@
+import gc
 import random
 import re
+import weakref
 from collections import defaultdict
 
 import numpy as np
@@ -9,7 +11,7 @@ from tests.llm.helpers import DOC_SCHEMA
 from tests.llm.test_packing import verify as verify_packing
 from tests.llm.test_simhash import brute as brute_groups
 from tests.llm.test_simhash import plain_fingerprint
-from tradewind.llm import langid, quality
+from tradewind.llm import langid, packing, quality
 from tradewind.llm.common import remainder
 
 
@@ -78,3 +80,17 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOC_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_worker_holds_the_tables_of_one_operator():
+    """The stages share worker processes: what one stage keeps there goes when the next one begins."""
+    model = (("aa", b" abc abd "), ("bb", b" xyz xyw "))
+    automata = weakref.ref(langid.parser(model))
+    assert langid.parser(model) is automata()                                # kept for the stage's further tasks
+    chunks = weakref.ref(packing._cached_tokenizer(packing.default_tokenizer()))
+    assert packing._cached_tokenizer(packing.default_tokenizer()) is chunks()
+    gc.collect()
+    assert automata() is None
+    quality.features("plain words")
+    gc.collect()
+    assert chunks() is None

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.session import materialize
 
 __all__ = ["documents", "materialize", "remainder", "batches_of", "compressed_batches", "keep_rows", "shared_path",
-           "shuffle_partitions"]
+           "shuffle_partitions", "worker_state"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,20 @@ def remainder(key: str | Column, modulus: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % F.lit(modulus)
 
 
+_STATE: dict[str, object] = {}
+
+
+def worker_state(owner: str, build: Callable[[], object]) -> object:
+    """What ``build`` makes, kept in this worker process for the tasks of ``owner`` until another owner asks.
+
+    Spark gives a worker tasks of all stages, one after the other: were each operator's tables kept beside
+    those of the operators before it, a pipeline's workers would hold them all."""
+    if owner not in _STATE:
+        _STATE.clear()
+        _STATE[owner] = build()
+    return _STATE[owner]
+
+
 def batches_of(rows: Iterator[Sequence], schema: pa.Schema, max_bytes: int = 16 << 20,
                max_rows: int = 8192) -> Iterator[pa.RecordBatch]:
     """Record batches of bounded rows and (approximately) bounded bytes."""

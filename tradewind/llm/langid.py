@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import batches_of, keep_rows
+from tradewind.llm.common import batches_of, keep_rows, worker_state
 
 #: Bytes of labelled text per language; characters of the window taken from one document.
 SAMPLE_BYTES, WINDOW = 50_000, 4_096
@@ -141,16 +141,19 @@ class Parser:
         self.codes = np.zeros(256, dtype=np.uint16)            # 0: no automaton knows it
         self.codes[held] = np.arange(1, len(held) + 1)
         self.letters = len(held) + 1
-        tables, self.root, at = [], [], 0
+        # Room for as many states as there can be, filled in place: pages that stay untouched take no memory.
+        most = sum(2 * len(sample) + 1 for _, sample in model) * self.letters
+        table = np.zeros(most, dtype=np.int32 if most < 1 << 31 else np.int64)
+        self.root, at = [], 0
         for _, sample in model:
             own = suffix_automaton(self.encode(sample), self.letters)
             # Targets are stored as positions of their rows, so that a step is one addition and one look-up.
-            tables.append(np.where(own > 0, (own + at) * self.letters, 0))
+            rows = table[at * self.letters:(at + len(own)) * self.letters].reshape(own.shape)
+            np.add(own, at, out=rows, where=own > 0)
+            rows *= self.letters
             self.root.append(at * self.letters)
             at += len(own)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, dtype=np.int64)
-        if at * self.letters < 1 << 31:
-            self.table = self.table.astype(np.int32)
+        self.table = table[:at * self.letters]
         self.cost = np.log2([max(SAMPLE_BYTES, len(sample)) for _, sample in model])
 
     def encode(self, text: bytes) -> np.ndarray:
@@ -194,9 +197,8 @@ def groups(model: Model, most: int = TABLE_BYTES) -> tuple[Model, ...]:
     return tuple(map(tuple, out))
 
 
-@lru_cache(maxsize=TABLES)
 def parser(part: Model) -> Parser:
-    return Parser(part)
+    return worker_state("langid", lambda: lru_cache(maxsize=TABLES)(Parser))(part)
 
 
 def _scored(texts: list[str | None], parts: tuple[Model, ...]) -> Iterator[tuple[str, float]]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import batches_of, materialize
+from tradewind.llm.common import batches_of, materialize, worker_state
 
 #: Items of a problem, islands of a problem, individuals of an island, generations of an epoch, epochs.
 PROBLEM_ITEMS, ISLANDS, POPULATION, GENERATIONS, EPOCHS = 2048, 3, 4, 6, 2
@@ -51,7 +51,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks are the parallel units
     from tokenizers import Tokenizer
@@ -153,9 +152,9 @@ class CachedTokenizer:
                 yield b"".join(ids)
 
 
-@lru_cache(maxsize=2)
 def _cached_tokenizer(path: str) -> CachedTokenizer:
-    return CachedTokenizer(path)              # one per worker process: its tasks share the chunks
+    """One per worker process: its tasks share the chunks."""
+    return worker_state("packing", lambda: lru_cache(maxsize=2)(CachedTokenizer))(path)
 
 
 def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048,

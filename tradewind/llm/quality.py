@@ -32,14 +32,13 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import keep_rows
+from tradewind.llm.common import keep_rows, worker_state
 
 #: Rows that the fit uses at most.
 MAX_POSITIVES, MAX_UNLABELLED = 5_000, 10_000
@@ -49,9 +48,12 @@ PLAIN = 9
 FEATURES = PLAIN + SHAPES
 
 
-@lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     """Shape class of each character of the basic plane: X, x, 9, the sign itself if ASCII, else o; blanks are blanks."""
+    return worker_state("quality", _class_table)
+
+
+def _class_table() -> np.ndarray:
     table = np.full(0x10000, ord("o"), dtype=np.uint8)
     for i in range(0x10000):
         c = chr(i)

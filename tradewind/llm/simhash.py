@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.cells import with_cells
-from tradewind.llm.common import batches_of, materialize
+from tradewind.llm.common import batches_of, materialize, worker_state
 from tradewind.llm.components import components
 
 BITS = 64
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     key_type = source.schema["k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("simhash", dict)                         # nothing is kept: other operators' tables go
         for b in batches:
             schema = pa.schema([("k", b.schema.field("k").type), ("bits", pa.int64())])
             signed = (f - (1 << 64) if (f := fingerprint(t.as_py(), width)) >> 63 else f for t in b.column("t"))
