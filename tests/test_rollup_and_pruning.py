@@ -8,7 +8,7 @@ from tests.builders import item, market, order
 from tests.conftest import SF
 from tradewind.operators import measures, seller, star
 from tradewind.plans.pipeline import read_staging, write_staging
-from tradewind.session import intermediates
+from tradewind.session import intermediates, materialize
 from tradewind.sources.testdata import load_raw_testdata, load_testdata
 
 
@@ -47,6 +47,26 @@ def test_overview_reads_the_fact_once(spark):
             assert any("grain" in line for line in _plan(df).splitlines() if "PartitionFilters" in line), name
 
 
+def test_rollup_moves_nothing_for_payments_and_items_not_for_sellers(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(star, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+
+    def noted(df, label, **kw):
+        written.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return materialize(df, label, **kw)
+    monkeypatch.setattr(measures, "materialize", noted)
+    m = load_testdata(spark, SF)
+    measures.sales_rollup(m)
+    (_, _), (label, plan) = written                              # sellers, rollup: orders with payments are not written
+    assert label == "sales-rollup" and "l_returnflag" not in plan and "l_linenumber" not in plan
+    assert "hashpartitioning(seller_id" not in plan
+    narrow = star.fact_orders(m, measures.FACT_COLUMNS)
+    assert len(written) == 2 and tuple(narrow.columns) == measures.FACT_COLUMNS
+    assert _rows(narrow) == _rows(star.fact_orders(m).select(*measures.FACT_COLUMNS))
+    paid = [*measures.FACT_COLUMNS, "total_payment_value"]
+    assert _rows(star.fact_orders(m, paid)) == _rows(star.fact_orders(m).select(*paid)) and written[2:] == ["fact-orders"] * 3
+
+
 def test_rollup_with_unknown_dimensions_unknown_money_and_no_rows(spark):
     orders = [order(1, 1, "delivered", "2024-01-01 10:00:00"), order(2, 7, "delivered", "2024-01-01 11:00:00")]
     items = [item(1, 1, 1, 1, 10), item(1, 2, 99, 1, 5), item(2, 1, 1, 98, 7), (2, 2, 1, 98, None, None)]
