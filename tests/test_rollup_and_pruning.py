@@ -67,6 +67,40 @@ def test_rollup_moves_nothing_for_payments_and_items_not_for_sellers(spark, monk
     assert _rows(star.fact_orders(m, paid).select(*paid)) == _rows(star.fact_orders(m).select(*paid)) and written[2:] == ["fact-orders"] * 3
 
 
+def test_rollup_moves_orders_not_items_by_customer(spark, monkeypatch):
+    plans = []
+
+    def noted(df, label, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return materialize(df, label, **kw)
+    monkeypatch.setattr(measures, "materialize", noted)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    orders = [order(i, i % 3 or None, "delivered", "2024-01-01 10:00:00") for i in range(1, 7)]
+    items = [item(i, n, n, 1, 10 * i) for i in range(1, 7) for n in (1, 2)]
+    m = market(spark, orders=orders, order_items=items, customers=[(1, 1, "00001", "C", "SP"), (2, 2, "00001", "C", "RJ")])
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        r = measures.sales_rollup(m)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    _, plan = plans
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    moved = []
+    for i, line in enumerate(plan):
+        if "Exchange hashpartitioning(customer_id" in line:
+            end = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+            moved.append("\n".join(plan[i:end]))
+    assert len(moved) == 2 and not any("price" in x for x in moved)        # orders and customers
+    state = {1: "SP", 2: "RJ", 0: None}
+    want = {s: (sum(20.0 * i for i in range(1, 7) if state[i % 3] == s), 4) for s in state.values()}
+    got = {}
+    for c in r.cells.collect():
+        g, n = got.get(c.customer_state, (0.0, 0))
+        got[c.customer_state] = (g + float(c.revenue), n + c.items_sold)
+    assert got == want
+    assert {(o.order_id, float(o.revenue), o.items_sold) for o in r.orders.collect()} == {(i, 20.0 * i, 2) for i in range(1, 7)}
+
+
 def test_rollup_with_unknown_dimensions_unknown_money_and_no_rows(spark):
     orders = [order(1, 1, "delivered", "2024-01-01 10:00:00"), order(2, 7, "delivered", "2024-01-01 11:00:00")]
     items = [item(1, 1, 1, 1, 10), item(1, 2, 99, 1, 5), item(2, 1, 1, 98, 7), (2, 2, 1, 98, None, None)]
